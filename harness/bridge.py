@@ -24,7 +24,7 @@ DEFECTS = {
     11: ("unit_price", "'-5.00'"),
     12: ("unit_price", "'1.001'"),
     13: ("unit_price", "'1e2'"),
-    14: ("unit_price", "'9999999999999999.99'"),
+    14: ("unit_price", "CASE quantity WHEN '1' THEN unit_price ELSE '9999999999999999.99' END"),
     15: ("discount_amount", "'abc'"),
     16: ("discount_amount", "'99999999.99'"),
     17: ("order_timestamp", "'not-a-timestamp'"),

@@ -8,6 +8,7 @@ are positional.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql.types import (
     ArrayType,
@@ -33,7 +34,7 @@ _TYPES: dict[str, DataType] = {
     "money": MONEY,
     "instant": TimestampType(),
     "day": DateType(),
-    "texts": ArrayType(StringType()),
+    "texts": ArrayType(StringType(), containsNull=False),
 }
 
 
@@ -139,5 +140,10 @@ class Limits:
     timestamp_format: str = "yyyy-MM-dd'T'HH:mm:ss"
     field_chars: int = 131_072
 
+    def order_days(self) -> int:
+        """Number of dates an order can have."""
+        first, last = map(date.fromisoformat, (self.first_order_date, self.last_order_date))
+        return (last - first).days + 1
+
 
 DEFAULT_LIMITS = Limits()

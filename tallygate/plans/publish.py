@@ -66,6 +66,12 @@ CURRENT = "is_current"
 # Micros keep timestamps readable everywhere; two open files per task spare the sort that
 # a partitioned write would otherwise put in front.
 _WRITING = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
+
+# What a shuffled order line takes, and the sizes to aim for when writing them.
+_LINE_BYTES = 160
+_FILE_BYTES = 256 << 20
+_LEAST_BYTES = 64 << 10
+
 _STAGING = {"spark.sql.maxConcurrentOutputFileWriters": "3"}
 
 
@@ -127,9 +133,23 @@ def _stage_ranked(
     return Staged.write(ranked.withColumn(CURRENT, is_current), f"{scratch}/ranked", CURRENT)
 
 
-def write_order_lines(lines: DataFrame, path: str) -> None:
-    """One directory per order date; rows of a date meet in few tasks, split if too many."""
-    lines.hint("rebalance", "order_date").write.partitionBy("order_date").parquet(path)
+def write_order_lines(lines: DataFrame, rows: int, path: str, limits: Limits) -> None:
+    """One directory per order date, with as few files as the size of the date allows.
+
+    Rows of a date meet in one task, and adaptive execution splits a date that is too
+    large for one.  There are never more tasks to begin with than dates.  The size to aim
+    for follows the snapshot: full files for a large one, a share per core for a small one.
+    """
+    spark = lines.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = min(_FILE_BYTES, max(_LEAST_BYTES, rows * _LINE_BYTES // cores))
+    tasks = min(4 * cores, limits.order_days())
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size)}):
+        (
+            lines.hint("rebalance", tasks, "order_date")
+            .write.partitionBy("order_date")
+            .parquet(path)
+        )
 
 
 def build_run(
@@ -185,7 +205,7 @@ def _build(
     ratio = counts.reject_ratio(most)
 
     current = current_lines(ranked.read(spark, "yes"))
-    write_order_lines(current, layout.order_lines)
+    write_order_lines(current, counts.current, layout.order_lines, limits)
 
     staged_daily = f"{layout.staging}/daily"
     daily_sales(current).write.parquet(staged_daily)
