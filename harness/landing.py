@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from harness.bridge import order_line_versions
 from tallygate.contract import SOURCE_COLUMNS
+from tallygate.plans.lake import add_run, create_lake_tables
 from tallygate.plans.promote import promote_run
 from tallygate.plans.publish import publish_snapshot
 
@@ -104,6 +105,17 @@ def published(spark: SparkSession, sf_dir: str) -> Landed:
     return _note(spark, sf_dir, "run", place)
 
 
+def in_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Name of the database whose tables show the published run."""
+    place = published(spark, sf_dir)
+    database = f"lake_{uuid.uuid5(uuid.NAMESPACE_URL, place.root).hex}"
+    if not _once(spark, sf_dir, "lake"):
+        create_lake_tables(spark, database, place.root)
+        add_run(spark, database, place.root, place.run_id)
+        _note(spark, sf_dir, "lake", place)
+    return database
+
+
 def promoted(spark: SparkSession, sf_dir: str) -> Landed:
     known = _once(spark, sf_dir, "mart")
     if known:

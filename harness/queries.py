@@ -13,13 +13,14 @@ from harness.landing import (
     BATCH_DATE,
     MOST_REJECTED,
     RUN_ID,
+    in_lake,
     landed,
     promoted,
     published,
     shared_folder,
     write_snapshot_csv,
 )
-from tallygate.contract import CORRUPT, RUN_METRICS, SOURCE_COLUMNS
+from tallygate.contract import CORRUPT, ORDER_LINES, RUN_METRICS, SOURCE_COLUMNS
 from tallygate.operators import reports
 from tallygate.operators.classify import ACCEPTED, accepted_lines, classify, rejected_rows
 from tallygate.operators.daily import daily_sales, summary
@@ -30,7 +31,7 @@ from tallygate.operators.versions import (
     rank_versions,
     superseded_lines,
 )
-from tallygate.plans.lake import add_run, create_lake_tables, run_sql
+from tallygate.plans.lake import run_sql
 from tallygate.plans.promote import (
     current_mart,
     load_audit,
@@ -138,15 +139,14 @@ def superseded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crowded_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ranks with the category as key, so that some keys are too large for one task."""
-    lines = read_order_lines(spark, published(spark, sf_dir).root, RUN_ID).drop("run_id")
-    older = read_superseded(spark, published(spark, sf_dir).root, RUN_ID)
-    lines = lines.unionByName(older.select(*lines.columns))
+    """Ranks with the category as key; most categories are too large for one task."""
+    scratch = shared_folder(spark)
+    accepted = accepted_lines(classify(rows_as_landed(spark, sf_dir)))
+    accepted.write.parquet(f"{scratch}/accepted")
+    lines = spark.read.schema(ORDER_LINES).parquet(f"{scratch}/accepted")
     rows = lines.count()
-    ranked = rank_at_scale(
-        lines, rows, shared_folder(spark), crowd=max(1, rows // 8), keys=("category",)
-    )
-    return plain(ranked)
+    crowd = max(1, rows // 16)
+    return plain(rank_at_scale(lines, rows, scratch, crowd, keys=("category",)))
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,14 +253,6 @@ def cancelled_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> str:
-    place = published(spark, sf_dir)
-    database = f"lake_{abs(hash(place.root)):x}"
-    create_lake_tables(spark, database, place.root)
-    add_run(spark, database, place.root, RUN_ID)
-    return database
-
-
 def lake_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = """
       SELECT CAST(order_date AS STRING) AS order_date, count(*) AS order_lines,
@@ -269,7 +261,7 @@ def lake_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
       WHERE run_id = :run_id AND order_date BETWEEN DATE '2020-01-01' AND DATE '2035-12-31'
       GROUP BY order_date
     """
-    table = f"{_lake(spark, sf_dir)}.order_lines"
+    table = f"{in_lake(spark, sf_dir)}.order_lines"
     return run_sql(spark, text, {"lines": table}, run_id=RUN_ID)
 
 
@@ -278,7 +270,7 @@ def lake_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT country, count(*) AS gold_rows, sum(units) AS units
       FROM IDENTIFIER(:daily) WHERE run_id = :run_id GROUP BY country
     """
-    table = f"{_lake(spark, sf_dir)}.daily_sales"
+    table = f"{in_lake(spark, sf_dir)}.daily_sales"
     return run_sql(spark, text, {"daily": table}, run_id=RUN_ID)
 
 

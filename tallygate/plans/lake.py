@@ -34,6 +34,13 @@ def checked_name(value: str) -> str:
     return value
 
 
+def checked_location(value: str) -> str:
+    """A path that can stand in quotes inside a statement."""
+    if re.search(r"['\\`]", value):
+        raise UnsafeParameterError(f"not a table location: {value!r}")
+    return value
+
+
 def run_sql(
     spark: SparkSession, text: str, tables: dict[str, str] | None = None, **values: Any
 ) -> DataFrame:
@@ -68,8 +75,7 @@ def create_lake_tables(spark: SparkSession, database: str, root: str) -> None:
     """
     checked_name(database)
     layout = RunLayout(root, "any")
-    if re.search(r"['\\]", layout.root):
-        raise UnsafeParameterError(f"not a table location: {root!r}")
+    checked_location(layout.root)
     spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:name)", args={"name": database})
     tables = {
         "order_lines": (ORDER_LINES, "run_id, order_date", f"{layout.root}/silver/order_lines"),

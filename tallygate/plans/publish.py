@@ -47,7 +47,7 @@ from tallygate.operators.versions import (
     rank_at_scale,
     superseded_lines,
 )
-from tallygate.session import settings, use_utc
+from tallygate.session import settings, shuffles_for, use_utc
 from tallygate.sources import files
 from tallygate.sources.runs import RunLayout, load_manifest
 from tallygate.sources.snapshot_csv import (
@@ -63,17 +63,20 @@ from tallygate.sources.snapshot_csv import (
 OUTCOME = "outcome"
 CURRENT = "is_current"
 
-# Micros keep timestamps readable everywhere; two open files per task spare the sort that
-# a partitioned write would otherwise put in front.
-_WRITING = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
+# Micros keep timestamps readable everywhere.  Splits of up to half a gibibyte keep the
+# number of staged files down; Spark makes smaller ones itself as long as cores are idle.
+_RUN = {
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.files.maxPartitionBytes": str(512 << 20),
+}
+# With a few files open per task, a split write needs no sort in front of it.
+_STAGING = {"spark.sql.maxConcurrentOutputFileWriters": "3"}
 
 # What a shuffled order line takes, and the sizes to aim for when writing them.
 _LINE_BYTES = 160
 _FILE_BYTES = 256 << 20
 _LEAST_BYTES = 64 << 10
 
-_STAGING = {"spark.sql.maxConcurrentOutputFileWriters": "3"}
-
 
 @dataclass(frozen=True)
 class Staged:
@@ -171,7 +174,7 @@ def build_run(
     rules = contract_rules(limits) if rules is None else list(rules)
     use_utc(spark)
     try:
-        with settings(spark, _WRITING):
+        with settings(spark, _RUN):
             return _build(spark, source, layout, max_reject_ratio, rules, limits, crowd)
     finally:
         files.remove(spark, layout.staging)
@@ -192,13 +195,23 @@ def _build(
     )
     outcomes = staged.counts(spark)
     accepted, rejected = (outcomes.get(name, 0) for name in ("accepted", "rejected"))
-
     rejected_rows(staged.read(spark, "rejected"), rules).write.parquet(layout.quarantine)
-    ranked = _stage_ranked(
-        spark, accepted_lines(staged.read(spark, "accepted")), accepted, layout.staging, crowd
-    )
-    superseded_lines(ranked.read(spark, "no")).write.parquet(layout.superseded)
+    with settings(spark, shuffles_for(spark, accepted * _LINE_BYTES)):
+        lines = accepted_lines(staged.read(spark, "accepted"))
+        ranked = _stage_ranked(spark, lines, accepted, layout.staging, crowd)
+        return _check_and_write(spark, ranked, accepted, rejected, layout, most, limits)
+
 
+def _check_and_write(
+    spark: SparkSession,
+    ranked: Staged,
+    accepted: int,
+    rejected: int,
+    layout: RunLayout,
+    most: float,
+    limits: Limits,
+) -> RunMetrics:
+    superseded_lines(ranked.read(spark, "no")).write.parquet(layout.superseded)
     versions = ranked.counts(spark)
     counts = RowCounts(accepted + rejected, rejected, versions.get("yes", 0), versions.get("no", 0))
     counts.reconcile()

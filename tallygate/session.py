@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -14,6 +15,16 @@ def use_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def shuffles_for(spark: SparkSession, size: int) -> dict[str, str]:
+    """Settings for shuffling so many bytes: at least one partition per gibibyte.
+
+    The session's own number stands if it is larger.  Adaptive execution merges partitions
+    that turn out small, but it never makes more of them than it was given.
+    """
+    name = "spark.sql.shuffle.partitions"
+    return {name: str(max(int(spark.conf.get(name)), math.ceil(size / (1 << 30))))}
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Apply settings for the length of a block, then put the earlier ones back."""

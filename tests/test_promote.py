@@ -21,6 +21,7 @@ from tallygate.plans.promote import (
     misfits,
     promote_run,
     resume_run,
+    show_mart,
     surviving_rows,
 )
 from tallygate.plans.publish import publish_snapshot
@@ -203,3 +204,16 @@ def test_resuming_checks_identity_and_loads_without_a_rebuild(spark, lake, tmp_p
     assert loaded["load"]["loaded"]
     with pytest.raises(MarkerError):
         resume_run(spark, lake, "sample", "2026-01-19", str(tmp_path))
+
+
+def test_the_catalog_shows_the_last_load(spark, lake, tmp_path):
+    mart = str(tmp_path / "mart x")
+    show_mart(spark, "mart_test", mart)
+    view, runs = "mart_test.daily_sales", "mart_test.pipeline_runs"
+    assert spark.table(view).schema.names == MART.names and spark.table(view).count() == 0
+    for run_id, count in (("small", 1), ("sample", 7), ("none", 0)):
+        promote_run(spark, lake, mart, run_id)
+        show_mart(spark, "mart_test", mart)
+        assert spark.table(view).count() == count
+    listed = spark.table(runs).orderBy("sequence").select("run_id", "row_count").collect()
+    assert [tuple(row) for row in listed] == [("small", 1), ("sample", 7), ("none", 0)]
