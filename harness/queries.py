@@ -134,17 +134,25 @@ def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(latest_lines(accepted_lines(classify(rows_as_landed(spark, sf_dir)))))
 
 
+def _staged_lines(spark: SparkSession, sf_dir: str, scratch: str) -> tuple[DataFrame, int]:
+    """Accepted lines written once and read back, and their number."""
+    accepted = accepted_lines(classify(rows_as_landed(spark, sf_dir)))
+    accepted.write.parquet(f"{scratch}/accepted")
+    lines = spark.read.schema(ORDER_LINES).parquet(f"{scratch}/accepted")
+    return lines, lines.count()
+
+
 def superseded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(superseded_lines(_ranked(spark, sf_dir)))
+    """All ranks are needed here, so keys with very many versions are looked for first."""
+    scratch = shared_folder(spark)
+    lines, rows = _staged_lines(spark, sf_dir, scratch)
+    return plain(superseded_lines(rank_at_scale(lines, rows, scratch)))
 
 
 def crowded_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranks with the category as key; most categories are too large for one task."""
     scratch = shared_folder(spark)
-    accepted = accepted_lines(classify(rows_as_landed(spark, sf_dir)))
-    accepted.write.parquet(f"{scratch}/accepted")
-    lines = spark.read.schema(ORDER_LINES).parquet(f"{scratch}/accepted")
-    rows = lines.count()
+    lines, rows = _staged_lines(spark, sf_dir, scratch)
     crowd = max(1, rows // 16)
     return plain(rank_at_scale(lines, rows, scratch, crowd, keys=("category",)))
 
