@@ -36,11 +36,11 @@ def _field(name: str) -> Column:
     return F.when(value.rlike('[",]'), quoted).otherwise(value)
 
 
-def write_snapshot_csv(versions: DataFrame, path: str, files: int = 8) -> str:
-    """Text files of CSV lines, each led by the header.
+def write_snapshot_csv(versions: DataFrame, path: str) -> str:
+    """CSV files led by the header, with the planted damage, one file per task.
 
-    A header line per file bucket is sorted to the front of it.  Buckets that share a
-    file leave a repeated header inside, which readers of a snapshot skip.
+    The lines are made here, because no CSV writer writes broken ones.  Spark's writer gets
+    them as a single column that is named like the header line, with quoting off.
     """
     line = F.concat_ws(",", *map(_field, SOURCE_COLUMNS))
     damaged = (
@@ -48,21 +48,15 @@ def write_snapshot_csv(versions: DataFrame, path: str, files: int = 8) -> str:
         .when(F.col("damage") == "quote", F.concat(F.lit('"'), line))
         .otherwise(line)
     )
-    lines = versions.select(
-        F.pmod(F.xxhash64(line), F.lit(files)).alias("file"), F.lit(1).alias("part"),
-        damaged.alias("value"),
-    )
-    headers = versions.sparkSession.range(files).select(
-        F.col("id").alias("file"), F.lit(0).alias("part"),
-        F.lit(",".join(SOURCE_COLUMNS)).alias("value"),
-    )
-    (
-        lines.unionByName(headers)
-        .repartition(files, "file")
-        .sortWithinPartitions("file", "part")
-        .select("value")
-        .write.text(path)
-    )
+    as_is = {
+        "header": True,
+        "sep": "\u0001",
+        "quote": "\u0000",
+        "escape": "\u0000",
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    versions.select(damaged.alias(",".join(SOURCE_COLUMNS))).write.options(**as_is).csv(path)
     return path
 
 

@@ -39,7 +39,7 @@ from tallygate.plans.promote import (
     promote_run,
 )
 from tallygate.plans.publish import publish_snapshot
-from tallygate.session import use_utc
+from tallygate.session import use_contract_time
 from tallygate.sources.runs import (
     data_files,
     published_runs,
@@ -71,7 +71,7 @@ def plain(frame: DataFrame) -> DataFrame:
 
 def rows_as_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The snapshot's rows as the CSV reader hands them on, without a trip through files."""
-    use_utc(spark)
+    use_contract_time(spark)
     versions = order_line_versions(spark, sf_dir)
     quote = F.coalesce(F.col("damage") == "quote", F.lit(False))
     return versions.select(

@@ -28,7 +28,7 @@ from tallygate.functions.rules import (
     rule_mask,
     typed,
 )
-from tallygate.session import use_utc
+from tallygate.session import use_contract_time
 
 BROKEN_RULES = "broken_rules"
 ACCEPTED = "accepted"
@@ -73,7 +73,7 @@ def classify(
     The result is a chain of projections without a shuffle.  Where several consumers need
     it, write it once and read it back (see ``plans.publish``).
     """
-    use_utc(source.sparkSession)
+    use_contract_time(source.sparkSession)
     rules = contract_rules(limits) if rules is None else rules
     return (
         _normalised(source, keep)

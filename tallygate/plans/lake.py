@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallygate.contract import DAILY_SALES, ORDER_LINES
 from tallygate.operators.daily import summary
 from tallygate.operators.quality import QualityError, checked_run_id
-from tallygate.session import use_utc
+from tallygate.session import use_contract_time
 from tallygate.sources.runs import (
     RunLayout,
     read_daily_sales,
@@ -116,7 +116,7 @@ def reconcile_run(spark: SparkSession, root: str, run_id: str) -> dict[str, Any]
     Returns the summary of the data; raises ``QualityError`` if it differs or if any row
     breaks an invariant.
     """
-    use_utc(spark)
+    use_contract_time(spark)
     metrics = success_marker(spark, root, run_id)
     found = summary(read_daily_sales(spark, root, run_id)).first().asDict()
     agrees = (

@@ -47,7 +47,7 @@ from tallygate.operators.versions import (
     rank_at_scale,
     superseded_lines,
 )
-from tallygate.session import settings, shuffles_for, use_utc
+from tallygate.session import settings, shuffles_for, use_contract_time
 from tallygate.sources import files
 from tallygate.sources.runs import RunLayout, load_manifest
 from tallygate.sources.snapshot_csv import (
@@ -172,7 +172,7 @@ def build_run(
     layout = RunLayout(root, run_id)
     checked_ratio(max_reject_ratio)
     rules = contract_rules(limits) if rules is None else list(rules)
-    use_utc(spark)
+    use_contract_time(spark)
     try:
         with settings(spark, _RUN):
             return _build(spark, source, layout, max_reject_ratio, rules, limits, crowd)

@@ -9,10 +9,19 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 
-def use_utc(spark: SparkSession) -> None:
-    """All timestamps of the contract are UTC, and dates are taken in UTC."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+# How the contract reads times.  All are UTC, dates are taken in UTC, and a
+# text either fits the timestamp format or is no timestamp.
+_TIME = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.legacy.timeParserPolicy": "CORRECTED",
+}
+
+
+def use_contract_time(spark: SparkSession) -> None:
+    """Set the session to the contract's reading of times."""
+    for name, value in _TIME.items():
+        if spark.conf.get(name) != value:
+            spark.conf.set(name, value)
 
 
 def shuffles_for(spark: SparkSession, size: int) -> dict[str, str]:

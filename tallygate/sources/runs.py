@@ -127,6 +127,11 @@ def published_runs(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def of_published_runs(frame: DataFrame, runs: DataFrame) -> DataFrame:
+    """Rows that belong to a published run, from a table over the runs of a root."""
+    return frame.join(runs.select("run_id").distinct(), "run_id", "left_semi")
+
+
 def success_marker(
     spark: SparkSession, root: str, run_id: str, batch_date: str | None = None
 ) -> dict[str, Any]:
