@@ -120,11 +120,11 @@ def over_snapshot(select: str, keys: str = "order_id, line_id", status: str = "s
 
 def sql() -> dict[str, str]:
     counts = (
-        "SELECT count(*) AS input_rows, count_if(len(reasons) > 0) AS rejected_rows, "
-        "(SELECT count_if(dedup_rank > 1) FROM ranked) AS duplicate_rows, "
-        "(SELECT count_if(dedup_rank = 1) FROM ranked) AS valid_rows, "
+        "SELECT count(*) AS input_rows, CAST(count_if(len(reasons) > 0) AS BIGINT) AS rejected_rows, "
+        "(SELECT count(*) FROM ranked WHERE dedup_rank > 1) AS duplicate_rows, "
+        "(SELECT count(*) FROM ranked WHERE dedup_rank = 1) AS valid_rows, "
         "(SELECT count(*) FROM daily) AS gold_rows, "
-        "count_if(len(reasons) > 0) / count(*) AS reject_ratio, "
+        "CAST(count_if(len(reasons) > 0) AS DOUBLE) / count(*) AS reject_ratio, "
         "(SELECT CAST(CAST(coalesce(sum(net_amount), 0) AS DECIMAL(28, 2)) AS VARCHAR) "
         "FROM daily) AS net_amount FROM judged"
     )
@@ -167,8 +167,9 @@ def sql() -> dict[str, str]:
             "SELECT count(*) AS gold_rows, CAST(coalesce(sum(line_count), 0) AS BIGINT) "
             "AS line_count, CAST(coalesce(sum(units), 0) AS BIGINT) AS units, "
             "CAST(coalesce(sum(net_amount), 0) AS DECIMAL(28, 2)) AS net_revenue, "
-            "count_if(net_amount <> gross_amount - discount_amount OR order_count > line_count "
-            "OR line_count > units OR order_count <= 0 OR net_amount < 0) AS invalid_rows "
+            "CAST(count_if(net_amount <> gross_amount - discount_amount OR order_count > line_count "
+            "OR line_count > units OR order_count <= 0 OR net_amount < 0) AS BIGINT) "
+            "AS invalid_rows "
             "FROM daily"
         ),
         "sales_by_day_country": (
@@ -197,9 +198,11 @@ def sql() -> dict[str, str]:
             "AS DECIMAL(18, 2)) AS revenue_share_percent FROM daily GROUP BY category"
         ),
         "mart_integrity": (
-            "SELECT count(*) AS gold_rows, CASE WHEN count(*) > 0 THEN 1 ELSE 0 END "
-            "AS snapshot_count, CAST(sum(net_amount) AS DECIMAL(28, 2)) AS net_revenue, "
-            "count_if(net_amount <> gross_amount - discount_amount) AS inconsistent_rows FROM daily"
+            "SELECT count(*) AS gold_rows, "
+            "CAST(CASE WHEN count(*) > 0 THEN 1 ELSE 0 END AS BIGINT) AS snapshot_count, "
+            "CAST(sum(net_amount) AS DECIMAL(28, 2)) AS net_revenue, "
+            "CAST(count_if(net_amount <> gross_amount - discount_amount) AS BIGINT) "
+            "AS inconsistent_rows FROM daily"
         ),
         "promote_snapshot": f"SELECT {DAILY}, 'snapshot-1' AS source_run_id FROM daily",
         "replayed_load": f"SELECT {DAILY}, 'snapshot-1' AS source_run_id FROM daily",

@@ -64,6 +64,6 @@ def summary(daily: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("gold_rows"),
         total("line_count").alias("line_count"),
         total("units").alias("units"),
-        total("net_amount").cast("decimal(38,2)").alias("net_revenue"),
+        total("net_amount").cast("decimal(28,2)").alias("net_revenue"),
         F.count_if(~consistent()).alias("invalid_rows"),
     )
