@@ -120,7 +120,8 @@ def over_snapshot(select: str, keys: str = "order_id, line_id", status: str = "s
 
 def sql() -> dict[str, str]:
     counts = (
-        "SELECT count(*) AS input_rows, CAST(count_if(len(reasons) > 0) AS BIGINT) AS rejected_rows, "
+        "SELECT count(*) AS input_rows, "
+        "CAST(count_if(len(reasons) > 0) AS BIGINT) AS rejected_rows, "
         "(SELECT count(*) FROM ranked WHERE dedup_rank > 1) AS duplicate_rows, "
         "(SELECT count(*) FROM ranked WHERE dedup_rank = 1) AS valid_rows, "
         "(SELECT count(*) FROM daily) AS gold_rows, "
@@ -167,8 +168,8 @@ def sql() -> dict[str, str]:
             "SELECT count(*) AS gold_rows, CAST(coalesce(sum(line_count), 0) AS BIGINT) "
             "AS line_count, CAST(coalesce(sum(units), 0) AS BIGINT) AS units, "
             "CAST(coalesce(sum(net_amount), 0) AS DECIMAL(28, 2)) AS net_revenue, "
-            "CAST(count_if(net_amount <> gross_amount - discount_amount OR order_count > line_count "
-            "OR line_count > units OR order_count <= 0 OR net_amount < 0) AS BIGINT) "
+            "CAST(count_if(net_amount <> gross_amount - discount_amount "
+            "OR order_count > line_count OR line_count > units OR order_count <= 0 OR net_amount < 0) AS BIGINT) "
             "AS invalid_rows "
             "FROM daily"
         ),

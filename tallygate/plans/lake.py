@@ -105,9 +105,8 @@ def add_run(spark: SparkSession, database: str, root: str, run_id: str) -> None:
         table = checked_name(f"{database}.{name}")
         for start in range(0, len(specs), _PARTITIONS_PER_STATEMENT):
             batch = " ".join(specs[start : start + _PARTITIONS_PER_STATEMENT])
-            run_sql(
-                spark, f"ALTER TABLE IDENTIFIER(:target) ADD IF NOT EXISTS {batch}", {"target": table}
-            )
+            text = f"ALTER TABLE IDENTIFIER(:target) ADD IF NOT EXISTS {batch}"
+            run_sql(spark, text, {"target": table})
 
 
 def reconcile_run(spark: SparkSession, root: str, run_id: str) -> dict[str, Any]:

@@ -17,6 +17,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tallygate.contract import DAILY_SALES, ORDER_LINES, QUARANTINE, RUN_METRICS, SUPERSEDED
 from tallygate.operators.quality import checked_run_id
+from tallygate.session import settings
 
 _RUN = StructField("run_id", StringType())
 
@@ -89,9 +90,15 @@ class RunLayout:
 
 
 def _read_run(spark: SparkSession, base: str, path: str, schema: StructType) -> DataFrame:
-    """One run's dataset, found by its path alone; other runs are not even listed."""
+    """One run's dataset, found by its path alone; other runs are not even listed.
+
+    The directories of a run are listed by as many tasks as there are cores, where Spark
+    would start a task for each directory.
+    """
     known = StructType([*schema.fields, _RUN])
-    return spark.read.schema(known).option("basePath", base).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    with settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(cores)}):
+        return spark.read.schema(known).option("basePath", base).parquet(path)
 
 
 def read_order_lines(spark: SparkSession, root: str, run_id: str) -> DataFrame:
