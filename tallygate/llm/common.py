@@ -50,17 +50,17 @@ def kept(df: DataFrame) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that ``column`` holds about ``most`` bytes in each; a single longer
-    text makes a batch of its own."""
+    """The batches cut so that ``column``, of texts or lists, holds about ``most`` bytes or values
+    in each; a single longer one makes a batch of its own."""
     for batch in batches:
-        sizes = [0 if n is None else n for n in pc.binary_length(batch[column]).to_pylist()]
+        length = pc.list_value_length if pa.types.is_list(batch[column].type) else pc.binary_length
         begin = held = 0
-        for at, n in enumerate(sizes):
+        for at, n in enumerate(pc.fill_null(length(batch[column]), 0).to_pylist()):
             if at > begin and held + n > most:
                 yield batch.slice(begin, at - begin)
                 begin, held = at, 0
             held += n
-        if begin < len(sizes):
+        if begin < batch.num_rows:
             yield batch.slice(begin)
 
 

@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.llm import simhash
+from tallygate.llm import decontaminate, packing, simhash
 from tallygate.llm.common import table
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """The place of a public tokenizer's vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -19,8 +26,31 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequence and offset of every piece of every document."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark windows, and the items found."""
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    named = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(named, 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
+    "op9_packing": op9_packing,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {}
