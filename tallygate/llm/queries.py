@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.llm import decontaminate, packing, simhash
+from tallygate.llm import chat, decontaminate, licenses, packing, simhash
 from tallygate.llm.common import table
 
 
@@ -18,6 +18,23 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: A conversation that holds the marks of the format, escaped and plain.
+MARKED = r"\### Assistant: </turn> ok"
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests read back from the formatted text of every conversation and of conversation -7."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = [F.struct(F.lit(n).cast("long").alias("turn"), F.lit(role).alias("role")) for n, role in enumerate(("user", "assistant"))]
+    marked = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.inline(F.array(*turns)))
+    return chat.read_back(chat.formatted(given.union(marked.withColumn("text", F.lit(MARKED)))))
+
+
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates of every document."""
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -48,9 +65,28 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
+    "op2_licenses": op2_licenses,
     "op6_simhash": op6_simhash,
     "op9_packing": op9_packing,
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_OP1 = rf"""
+    with turns as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        union all values (-7, 0, 'user', '{MARKED}'), (-7, 1, 'assistant', '{MARKED}')),
+    spelled as (
+        select *, length(regexp_replace(text, '(\\*)(###|</turn>)', '\\\1\2', 'g')) as body from turns)
+    select conv_id, count(*) as n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+        coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+        sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+        sum(length(role) + body + length('###  :') + 1 + length(' </turn>') + 1)::bigint as formatted_chars
+    from spelled group by conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_format": _OP1,
+    "op2_licenses": licenses.oracle_sql(),
+}
