@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.llm import chat, decontaminate, licenses, packing, simhash
+from tallygate.llm import chat, decontaminate, licenses, packing, quality, simhash
 from tallygate.llm.common import table
 
 
@@ -43,6 +43,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document and whether the fixed and the learned rules keep it."""
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sequence and offset of every piece of every document."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_licenses": op2_licenses,
     "op6_simhash": op6_simhash,
+    "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_decontaminate": op10_decontaminate,
 }
