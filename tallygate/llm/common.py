@@ -64,12 +64,9 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterato
             yield batch.slice(begin)
 
 
-def bounded_sample(rows: DataFrame, by: str, key: Column, most: int) -> DataFrame:
-    """About ``most`` rows of each value of ``by``, never over twice that, chosen by a hash of
-    ``key``: the same rows at every partitioning. All rows where there are fewer."""
-    counts = {r[0]: r[1] for r in rows.groupBy(by).count().collect()}
+def bounded_sample(rows: DataFrame, by: str, counts: dict, key: Column, most: int) -> DataFrame:
+    """About ``most`` rows of each value of ``by`` that ``counts`` has, chosen by a hash of ``key``:
+    the same rows at every partitioning, and all where there are fewer."""
     place = F.pmod(F.xxhash64(key), F.lit(1 << 30))
-    shares = [
-        (F.col(by) == value) & (place < int((1 << 30) * min(1.0, most / n))) for value, n in counts.items()
-    ]
+    shares = [(F.col(by) == v) & (place < int((1 << 30) * min(1.0, most / n))) for v, n in counts.items()]
     return rows.where(reduce(lambda a, b: a | b, shares, F.lit(False)))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.llm import chat, decontaminate, licenses, packing, quality, simhash
+from tallygate.llm import chat, decontaminate, language, licenses, packing, quality, simhash
 from tallygate.llm.common import table
 
 
@@ -35,6 +35,11 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned outside the held-out third."""
+    return language.held_out_prediction(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -72,6 +77,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_licenses": op2_licenses,
+    "op4_language": op4_language,
     "op6_simhash": op6_simhash,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
