@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.llm import chat, decontaminate, language, licenses, packing, quality, simhash
+from tallygate.llm import chat, decontaminate, language, licenses, packing, quality, simhash, toxicity
 from tallygate.llm.common import table
 
 
@@ -40,6 +40,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.held_out_prediction(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category probabilities of every document by the classifier chain."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_licenses": op2_licenses,
     "op4_language": op4_language,
+    "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
