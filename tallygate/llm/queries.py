@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.llm import chat, decontaminate, language, licenses, packing, quality, simhash, toxicity
+from tallygate.llm import chat, decontaminate, html_text, language, licenses, packing, quality, simhash, toxicity
 from tallygate.llm.common import table
 
 
@@ -53,6 +53,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document and whether the fixed and the learned rules keep it."""
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language": op4_language,
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
+    "op7_html_text": op7_html_text,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_decontaminate": op10_decontaminate,
