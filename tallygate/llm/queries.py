@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.llm import chat, decontaminate, html_text, language, licenses, packing, quality, simhash, toxicity
+from tallygate.llm import chat, decontaminate, html_text, language, licenses, packing, quality, repeats, simhash, toxicity
 from tallygate.llm.common import table
 
 
@@ -35,6 +35,19 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that a string of 400 bytes with a copy anywhere covers."""
+    cut = repeats.without_repeats(table(spark, sf_dir, "documents"), least=400, keep="none")
+    n_kept = F.coalesce(F.octet_length("kept"), F.lit(0)).cast("long")
+    return cut.select(
+        "row.doc_id",
+        F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("long").alias("n_bytes"),
+        (F.coalesce(F.octet_length("row.text"), F.lit(0)) - n_kept).cast("long").alias("n_removed"),
+        F.size("begins").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned outside the held-out third."""
     return language.held_out_prediction(table(spark, sf_dir, "documents"))
@@ -87,6 +100,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_licenses": op2_licenses,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_language": op4_language,
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
