@@ -32,23 +32,34 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder, so that a lost executor costs no more
-    than its own tasks and nothing above is computed twice.
-
-    The folder is ``spark.checkpoint.dir``; a local session without one gets its own.
-    """
-    context = df.sparkSession.sparkContext
+def scratch(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``, or where checkpoints go already.
+    A local session without either gets its own."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tallygate-")
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local[") and context.master != "local":
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="tallygate-")
         context.setCheckpointDir(folder)
+    return folder
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint folder, so that a lost executor costs no more
+    than its own tasks and nothing above is computed twice."""
+    scratch(df.sparkSession)
     return df.checkpoint()
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """The place of a public tokenizer's vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column``, of texts or lists, holds about ``most`` bytes or values
     in each; a single longer one makes a batch of its own."""

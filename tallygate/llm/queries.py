@@ -8,14 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygate.llm import chat, decontaminate, html_text, language, licenses, packing, quality, repeats, simhash, toxicity
-from tallygate.llm.common import table
-
-
-def vocabulary(name: str = "word_bpe_49k.json") -> str:
-    """The place of a public tokenizer's vocabulary file."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+from tallygate.llm.common import table, vocabulary
 
 
 #: A conversation that holds the marks of the format, escaped and plain.
