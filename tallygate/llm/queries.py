@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygate.llm import chat, decontaminate, html_text, language, licenses, packing, quality, repeats, simhash, toxicity
-from tallygate.llm.common import table, vocabulary
+from tallygate.llm.common import LOWER, UPPER, WORD, table, vocabulary
 
 
 #: A conversation that holds the marks of the format, escaped and plain.
@@ -117,7 +117,36 @@ _OP1 = rf"""
     from spelled group by conv_id
 """
 
+_OP10 = rf"""
+    with d as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') as w
+        from documents),
+    b as (
+        select item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') as w
+        from benchmark),
+    wins as (
+        select distinct item_id, n, array_to_string(w[s:s + n - 1], ' ') as gram
+        from (select item_id, w, least(10, len(w)) as n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as s
+              from b where len(w) > 0)),
+    grams as (
+        select doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') as gram
+        from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as s
+              from d, (select distinct n from wins))),
+    hits as (select doc_id, s, n, item_id from grams join wins using (n, gram)),
+    words as (
+        select doc_id, count(distinct at) as n_hit
+        from (select doc_id, unnest(range(s, s + n)) as at from hits) group by doc_id),
+    items as (
+        select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as listed
+        from (select distinct doc_id, item_id::varchar as item_id from hits) group by doc_id)
+    select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+        coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(listed, '')) as items_sha256,
+        coalesce(n_hit, 0) > 0 as contaminated
+    from d left join words using (doc_id) left join items using (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": _OP1,
     "op2_licenses": licenses.oracle_sql(),
+    "op10_decontaminate": _OP10,
 }

@@ -1,0 +1,42 @@
+"""Rows that every operator has to take: nulls, empty and long texts, repeats, clashing columns."""
+
+from __future__ import annotations
+
+import random
+
+#: Names that operators use inside; a user's table may have them as well.
+CLASHING = ["row", "id", "doc", "spans", "n_words", "anchor", "list", "fp0", "node", "words", "kept", "lang_pred"]
+
+
+def prose(seed: int, n: int) -> str:
+    rng = random.Random(seed)
+    parts = ["ra", "mi", "to", "vel", "sun", "ka", "ri", "den", "pol", "é", "ßa"]
+    words = ["".join(rng.choices(parts, k=rng.randint(1, 4))) for _ in range(n)]
+    return " ".join(words)
+
+
+def odd_rows() -> list[tuple]:
+    """(doc_id, text) with every odd case."""
+    long = prose(1, 30_000)
+    return [
+        (1, None),
+        (2, ""),
+        (3, " \n\t "),
+        (4, prose(4, 80)),
+        (4, prose(4, 80)),
+        (None, prose(5, 80)),
+        (None, None),
+        (6, prose(4, 80)),
+        (7, long),
+        (8, long[1000:]),
+        (9, "One. two three \U0001f600 \x00 ###"),
+        (10, "word " * 500),
+    ]
+
+
+def documents(spark, rows=None, extra: bool = False):
+    frame = spark.createDataFrame(odd_rows() if rows is None else rows, "doc_id long, text string")
+    frame = frame.selectExpr("doc_id", "text", "'en' as lang", "'s' as source", "length(text) * 1L as n_chars")
+    for name in CLASHING if extra else []:
+        frame = frame.selectExpr("*", f"'x' as `{name}`")
+    return frame
