@@ -134,8 +134,8 @@ _OP10 = rf"""
               from d, (select distinct n from wins))),
     hits as (select doc_id, s, n, item_id from grams join wins using (n, gram)),
     words as (
-        select doc_id, count(distinct at) as n_hit
-        from (select doc_id, unnest(range(s, s + n)) as at from hits) group by doc_id),
+        select doc_id, count(distinct place) as n_hit
+        from (select doc_id, unnest(range(s, s + n)) as place from hits) group by doc_id),
     items as (
         select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as listed
         from (select distinct doc_id, item_id::varchar as item_id from hits) group by doc_id)

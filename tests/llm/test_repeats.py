@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pytest
+
+from tallygate.llm import repeats
+from tests.llm.shapes import documents, odd_rows, prose
+
+LEAST = 40
+
+
+def plain(rows, keep, least=LEAST):
+    """Kept bytes of each row; for ``first`` rows with the same id and text count as one."""
+    order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0)) if keep == "first" else list(rows)
+    seen = {}
+    for n, (_, text) in enumerate(order):
+        data = (text or "").encode()
+        for s in range(len(data) - least + 1):
+            seen.setdefault(data[s : s + least], []).append((n, s))
+    kept = {}
+    for n, row in enumerate(order):
+        data = (row[1] or "").encode()
+        gone = np.zeros(len(data), bool)
+        for s in range(len(data) - least + 1):
+            places = seen[data[s : s + least]]
+            if len(places) > 1 and (keep == "none" or places[0] != (n, s)):
+                gone[s : s + least] = True
+        kept[row] = np.frombuffer(data, np.uint8)[~gone].tobytes()
+    return kept
+
+
+def cases():
+    passage = prose(30, 20)
+    rows = odd_rows() + [(30 + k, f"{prose(60 + k, 20)} {passage} {prose(90 + k, 20)}") for k in range(8)]
+    return rows + [(50, "ab" * 100), (51, passage[:LEAST]), (52, passage[1:LEAST])]
+
+
+@pytest.mark.parametrize("together", [repeats.TOGETHER, 1])
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_spans_equal_a_plain_search(spark, monkeypatch, keep, together):
+    spans = repeats.repeated_spans
+    monkeypatch.setattr(repeats, "repeated_spans", lambda d, n, k: spans(d, n, k, together))
+    rows = cases()
+    found = repeats.without_repeats(documents(spark, rows, extra=True), LEAST, keep).collect()
+    expected = plain(rows, keep)
+    assert len(found) == len(rows)
+    for r in found:
+        assert bytes(r["kept"]) == expected[r["row"]["doc_id"], r["row"]["text"]], r["row"]["doc_id"]
+        gone = sum(e - b for b, e in zip(r["begins"], r["ends"]))
+        assert gone == len((r["row"]["text"] or "").encode()) - len(r["kept"])
+
+
+def test_texts_stay_text_when_cut(spark):
+    passage = "é" * 30 + "ü" + "é" * 30
+    rows = [(1, f"x{passage}y"), (2, f"zz{passage}ß"), (3, None), (4, "clean")]
+    found = {r["doc_id"]: r["text"] for r in repeats.deduplicated(documents(spark, rows, extra=True), LEAST).collect()}
+    assert found[3] is None and found[4] == "clean" and found[2].startswith("zz") and found[2].endswith("ß")
+    assert repeats.deduplicated(documents(spark, []), LEAST).count() == 0
+
+
+def test_previous_factors_equal_a_plain_search():
+    rng = np.random.default_rng(2)
+    for _ in range(100):
+        data = rng.integers(97, 99, rng.integers(20, 90)).astype(np.uint8)
+        least = int(rng.integers(8, 14))
+        starts = np.arange(len(data) - least + 1)
+        strings = [data.tobytes()[s : s + least] for s in starts]
+        for keep in ("first", "none"):
+            expected = [s for s in starts if strings[s] in strings[:s] or keep == "none" and strings.count(strings[s]) > 1]
+            assert repeats.repeated_starts(data, starts, least, keep).tolist() == expected
+
+
+def test_anchors_of_equal_strings_are_equal():
+    text = prose(40, 200).encode()
+    one = repeats.runs(b"some other start " + text, LEAST)
+    two = repeats.runs(text + b" and an end", LEAST)
+    at = {f + k: a for a, f, l in zip(one[0], one[2], one[3]) for k in range(l - f + 1)}
+    for a, f, l in zip(two[0], two[2], two[3]):
+        for k in range(f, min(l, len(text) - LEAST) + 1):
+            assert at[k + len(b"some other start ")] == a
+
+
+def test_long_texts_are_taken_in_pieces(monkeypatch):
+    text = prose(41, 3000).encode()
+    whole = {f: hashlib.sha256(text[f:]).digest() for f in repeats.runs(text, LEAST)[2]}
+    monkeypatch.setattr(repeats, "_PIECE", 1000)
+    pieces = repeats.runs(text, LEAST)
+    assert set(whole) <= set(pieces[2].tolist())
+    assert (pieces[3] >= pieces[2]).all() and pieces[3][-1] == len(text) - LEAST
