@@ -49,7 +49,8 @@ def grams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     letters = np.concatenate(codes).astype(np.uint64) if codes else np.empty(0, np.uint64)
     doc = np.repeat(np.arange(len(texts), dtype=np.uint64), owner)
     blank = letters == _SPACE
-    stay = ~(blank & np.concatenate([[False], blank[:-1]]))
+    again = blank[1:] & blank[:-1] & (doc[1:] == doc[:-1])
+    stay = ~np.concatenate([np.zeros(len(doc[:1]), bool), again])
     letters, doc, blank = letters[stay], doc[stay], blank[stay]
     keys = []
     for n in range(1, LONGEST + 1):

@@ -32,6 +32,8 @@ FOLDS = 3
 FEATURES, LEAST_RATIO = 1000, 30.0
 BEGINNINGS = range(4, 10)
 THRESHOLD = 0.5
+#: The bias of a category that no labelled row has.
+NEVER = -20.0
 _TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]+")
 
 
@@ -130,7 +132,9 @@ def _fit(rows: list[set[str]], earlier: np.ndarray, y: np.ndarray, names: list[s
     row, at = np.array(pairs, np.int64).reshape(-1, 2).T
     m, extra = len(names), earlier.shape[1]
     weights = np.zeros(m + extra + 1)
-    weights[-1] = np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)) if len(y) else 0.0
+    if not y.any():
+        return Linear(NEVER, {}, [0.0] * extra)
+    weights[-1] = np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))
     ahead, squares = np.zeros_like(weights), np.zeros_like(weights)
     for t in range(1, rounds + 1):
         z = np.bincount(row, weights[at], len(y)) + earlier @ weights[m : m + extra] + weights[-1]
