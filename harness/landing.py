@@ -14,6 +14,7 @@ from tallygate.contract import SOURCE_COLUMNS
 from tallygate.plans.lake import add_run, create_lake_tables
 from tallygate.plans.promote import promote_run
 from tallygate.plans.publish import publish_snapshot
+from tallygate.sources import files
 
 # The bridge plants defects in about a tenth of all lines.
 MOST_REJECTED = 0.25
@@ -21,12 +22,26 @@ BATCH_DATE = "2026-01-15"
 RUN_ID = "snapshot-1"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder where the whole cluster can write."""
+_OWN: list[str] = []
+
+
+def shared_folder(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A folder of one query where the whole cluster can write; what an earlier call left goes.
+
+    It stands below ``spark.checkpoint.dir``. Only a session on one machine may do without.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        return tempfile.mkdtemp(prefix="tallygate-")
-    return f"{base.rstrip('/')}/tallygate-{uuid.uuid4().hex}"
+        master = spark.sparkContext.master
+        if not master.startswith("local[") and master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="tallygate-"))
+        base = _OWN[0]
+    tables = uuid.uuid5(uuid.NAMESPACE_URL, sf_dir).hex
+    path = f"{base.rstrip('/')}/tallygate-{spark.sparkContext.applicationId}/{tables}/{name}"
+    files.remove(spark, path)
+    return path
 
 
 def _field(name: str) -> Column:
@@ -84,7 +99,7 @@ def landed(spark: SparkSession, sf_dir: str) -> Landed:
     known = _once(spark, sf_dir, "raw")
     if known:
         return known
-    root = shared_folder(spark)
+    root = shared_folder(spark, sf_dir, "landed")
     raw = f"{root}/raw/batch_date={BATCH_DATE}"
     write_snapshot_csv(order_line_versions(spark, sf_dir), raw)
     return _note(spark, sf_dir, "raw", Landed(root, raw, f"{root}/mart"))

@@ -12,14 +12,15 @@ _CONTRACT = """
 WITH versions AS ({versions}),
 landed AS (
   SELECT * EXCLUDE (damage),
-    CASE WHEN damage IS NOT NULL THEN TRUE ELSE FALSE END AS corrupt
+    CASE WHEN damage IS NOT NULL THEN TRUE ELSE FALSE END AS corrupt,
+    CASE WHEN damage = 'extra' THEN {line} || ',surplus' END AS damaged_line
   FROM versions WHERE damage IS NULL OR damage <> 'quote'
   UNION ALL
-  SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, TRUE
+  SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, TRUE, '"' || {line}
   FROM versions WHERE damage = 'quote'
 ),
 tidy AS (
-  SELECT corrupt, trim(order_id) AS order_id, trim(line_id) AS line_id,
+  SELECT corrupt, damaged_line, trim(order_id) AS order_id, trim(line_id) AS line_id,
     trim(customer_id) AS customer_id, trim(product_id) AS product_id,
     trim(category) AS category, upper(trim(country)) AS country, trim(quantity) AS quantity,
     trim(unit_price) AS unit_price, trim(discount_amount) AS discount_amount,
@@ -112,10 +113,53 @@ DAILY = (
 )
 
 
+# A value with a comma stands in quotes in its line; no other character of the snapshot needs them.
+_FIELDS = [f"CASE WHEN contains({c}, ',') THEN '\"' || {c} || '\"' ELSE {c} END" for c in SOURCE.split(", ")]
+_CSV_LINE = "concat_ws(',', " + ", ".join(_FIELDS) + ")"
+
+
 def over_snapshot(select: str, keys: str = "order_id, line_id", status: str = "status") -> str:
     """A query over the tables of the snapshot named in the text above."""
     versions = versions_sql("duckdb", {name: name for name in TABLES})
-    return _CONTRACT.format(versions=versions, keys=keys, status=status) + select
+    return _CONTRACT.format(versions=versions, keys=keys, status=status, line=_CSV_LINE) + select
+
+
+# A published row that breaks an invariant, stated once more in full.
+INVALID = " OR ".join(
+    [f"{c} IS NULL" for c in DAILY.split(", ")]
+    + ["order_count <= 0", "order_count > line_count", "line_count > units"]
+    + [f"{c} < 0" for c in ("gross_amount", "discount_amount", "net_amount")]
+    + ["net_amount <> gross_amount - discount_amount"]
+)
+
+_BROKEN = """
+, broken AS (
+  SELECT order_date, category, line_count, discount_amount,
+    CASE WHEN kind <> 4 THEN country END AS country,
+    CASE WHEN kind = 1 THEN line_count + 1 ELSE order_count END AS order_count,
+    CASE WHEN kind = 2 THEN line_count - 1 ELSE units END AS units,
+    CASE WHEN kind = 3 THEN -gross_amount ELSE gross_amount END AS gross_amount,
+    CASE WHEN kind = 0 THEN CAST(net_amount + 0.01 AS DECIMAL(18, 2)) ELSE net_amount END
+      AS net_amount
+  FROM (SELECT *, (line_count * 5 + units) % 11 AS kind FROM daily)
+)
+"""
+
+_GATES = """
+, category_counts AS (
+  SELECT coalesce(category, '') AS category, count(*) AS given,
+    count_if(len(reasons) > 0) AS rejected
+  FROM judged GROUP BY 1
+),
+category_current AS (
+  SELECT category, count(*) AS kept FROM ranked WHERE dedup_rank = 1 GROUP BY 1
+),
+tried AS (
+  SELECT c.category, CAST(step / 20.0 AS DOUBLE) AS most,
+    CAST(c.rejected AS DOUBLE) / c.given AS share, coalesce(k.kept, 0) AS kept
+  FROM category_counts c LEFT JOIN category_current k USING (category), range(21) AS t(step)
+)
+"""
 
 
 def sql() -> dict[str, str]:
@@ -130,7 +174,9 @@ def sql() -> dict[str, str]:
         "FROM daily) AS net_amount FROM judged"
     )
     texts = {
-        "csv_ingest": f"SELECT {SOURCE}, corrupt AS malformed FROM landed",
+        "csv_ingest": (
+            f"SELECT {SOURCE}, corrupt AS malformed, damaged_line, TRUE AS from_a_file FROM landed"
+        ),
         "rejects_by_reason": (
             "SELECT reason, count(*) AS rejected_rows "
             "FROM (SELECT unnest(reasons) AS reason FROM judged) GROUP BY reason"
@@ -160,18 +206,54 @@ def sql() -> dict[str, str]:
         "published_superseded": f"SELECT {LINE}, dedup_rank FROM ranked WHERE dedup_rank > 1",
         "published_quarantine": (
             f"SELECT {SOURCE}, corrupt AS malformed, record_hash AS _record_hash, "
-            "array_to_string(reasons, ',') AS reasons FROM judged WHERE len(reasons) > 0"
+            "array_to_string(reasons, ',') AS reasons, damaged_line, TRUE AS from_a_file "
+            "FROM judged WHERE len(reasons) > 0"
         ),
         "published_daily_sales": f"SELECT {DAILY} FROM daily",
         "manifest_load": f"SELECT {DAILY} FROM daily",
+        "file_manifest": (
+            "SELECT TRUE AS sorted_and_unique, TRUE AS lists_all_files, count(*) AS gold_rows, "
+            "CAST(coalesce(sum(net_amount), 0) AS DECIMAL(28, 2)) AS net_revenue FROM daily"
+        ),
+        "gate_outcomes": (
+            _GATES + "SELECT category, most, share <= most AND kept > 0 AS passes, "
+            "CASE WHEN share <= most AND kept > 0 THEN share END AS ratio FROM tried"
+        ),
+        "overflow_gate": (
+            "SELECT order_date, country, category, line_count, "
+            "line_count * 9000000000000000 > 9999999999999999.99 AS overflows FROM daily"
+        ),
+        "broken_gold": (
+            _BROKEN + "SELECT count(*) AS gold_rows, "
+            f"CAST(count_if({INVALID}) AS BIGINT) AS invalid_rows, "
+            "CAST(count_if(net_amount <> gross_amount - discount_amount) AS BIGINT) "
+            "AS inconsistent_rows, CAST(count_if(country IS NULL) AS BIGINT) AS misfits FROM broken"
+        ),
+        "ordered_reports": (
+            "SELECT order_date, country, row_number() OVER (ORDER BY order_date, country) "
+            "AS position FROM (SELECT DISTINCT order_date, country FROM daily)"
+        ),
+        "refused_runs": (
+            "SELECT attempt, refusal, (SELECT count(*) FROM judged WHERE len(reasons) > 0) "
+            "AS evidence_rows FROM (VALUES ('taken id', 'AlreadyExistsError'), "
+            "('other batch', 'ValueError'), ('too many rejects', 'QualityError'), "
+            "('not published', 'MarkerError'), ('other marker', 'MarkerError')) AS t(attempt, refusal)"
+        ),
+        "resumed_run": (
+            "SELECT CAST(attempt AS INTEGER) AS attempt, gold_rows, net_revenue, attempt = 0 AS loaded, "
+            "gold_rows AS row_count FROM (SELECT count(*) AS gold_rows, "
+            "CAST(coalesce(sum(net_amount), 0) AS DECIMAL(28, 2)) AS net_revenue FROM daily), "
+            "range(2) AS t(attempt)"
+        ),
+        "catalog_mart": (
+            "SELECT count(*) AS gold_rows, CAST(coalesce(sum(net_amount), 0) AS DECIMAL(28, 2)) "
+            "AS net_revenue, count(*) AS loaded_rows FROM daily"
+        ),
         "reconciliation": (
             "SELECT count(*) AS gold_rows, CAST(coalesce(sum(line_count), 0) AS BIGINT) "
             "AS line_count, CAST(coalesce(sum(units), 0) AS BIGINT) AS units, "
             "CAST(coalesce(sum(net_amount), 0) AS DECIMAL(28, 2)) AS net_revenue, "
-            "CAST(count_if(net_amount <> gross_amount - discount_amount "
-            "OR order_count > line_count OR line_count > units OR order_count <= 0 OR net_amount < 0) AS BIGINT) "
-            "AS invalid_rows "
-            "FROM daily"
+            f"CAST(count_if({INVALID}) AS BIGINT) AS invalid_rows FROM daily"
         ),
         "sales_by_day_country": (
             "SELECT order_date, country, CAST(sum(net_amount) AS DECIMAL(28, 2)) AS net_revenue, "

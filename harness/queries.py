@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampType
 
@@ -20,11 +21,13 @@ from harness.landing import (
     shared_folder,
     write_snapshot_csv,
 )
-from tallygate.contract import CORRUPT, ORDER_LINES, RUN_METRICS, SOURCE_COLUMNS
+from tallygate.contract import CORRUPT, ORDER_LINES, RUN_METRICS, SOURCE_COLUMNS, SOURCE_FILE
 from tallygate.operators import reports
 from tallygate.operators.classify import ACCEPTED, accepted_lines, classify, rejected_rows
-from tallygate.operators.daily import daily_sales, summary
+from tallygate.operators.daily import daily_sales, overflowed, summary
+from tallygate.operators.quality import QualityError, RowCounts
 from tallygate.operators.versions import (
+    RANK,
     current_lines,
     latest_lines,
     rank_at_scale,
@@ -36,7 +39,10 @@ from tallygate.plans.promote import (
     current_mart,
     load_audit,
     mart_after_load,
+    misfits,
     promote_run,
+    resume_run,
+    show_mart,
 )
 from tallygate.plans.publish import publish_snapshot
 from tallygate.session import use_contract_time
@@ -50,6 +56,7 @@ from tallygate.sources.runs import (
     read_quarantine,
     read_superseded,
     RunLayout,
+    success_marker,
 )
 from tallygate.sources.snapshot_csv import read_snapshot
 
@@ -88,13 +95,21 @@ def _with_malformed(frame: DataFrame) -> DataFrame:
     return frame.withColumn("malformed", F.col(CORRUPT).isNotNull())
 
 
+def _with_provenance(frame: DataFrame) -> DataFrame:
+    """The damaged line itself, and whether the row names a file of the snapshot."""
+    named = F.col(SOURCE_FILE).endswith(".csv") & F.contains(SOURCE_FILE, F.lit("batch_date="))
+    return frame.withColumns(
+        {"damaged_line": F.col(CORRUPT), "from_a_file": F.coalesce(named, F.lit(False))}
+    )
+
+
 def _quarantine(frame: DataFrame) -> DataFrame:
     reasons = F.array_join("validation_errors", ",")
     return plain(_with_malformed(frame).withColumn("reasons", reasons)).drop("validation_errors")
 
 
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(_with_malformed(read_snapshot(spark, landed(spark, sf_dir).raw)))
+    return plain(_with_provenance(_with_malformed(read_snapshot(spark, landed(spark, sf_dir).raw))))
 
 
 def rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,14 +159,14 @@ def _staged_lines(spark: SparkSession, sf_dir: str, scratch: str) -> tuple[DataF
 
 def superseded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ranks are needed here, so keys with very many versions are looked for first."""
-    scratch = shared_folder(spark)
+    scratch = shared_folder(spark, sf_dir, "superseded_lines")
     lines, rows = _staged_lines(spark, sf_dir, scratch)
     return plain(superseded_lines(rank_at_scale(lines, rows, scratch)))
 
 
 def crowded_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranks with the category as key; most categories are too large for one task."""
-    scratch = shared_folder(spark)
+    scratch = shared_folder(spark, sf_dir, "crowded_versions")
     lines, rows = _staged_lines(spark, sf_dir, scratch)
     crowd = max(1, rows // 16)
     return plain(rank_at_scale(lines, rows, scratch, crowd, keys=("category",)))
@@ -164,7 +179,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish the landed snapshot under a new run and return the metrics of that run."""
     place, run_id = landed(spark, sf_dir), "metrics-run"
-    root = shared_folder(spark)
+    root = shared_folder(spark, sf_dir, "snapshot_metrics")
     metrics = publish_snapshot(spark, place.raw, root, run_id, BATCH_DATE, MOST_REJECTED)
     row = tuple(metrics.as_dict()[name] for name in RUN_METRICS.fieldNames())
     return spark.createDataFrame([row], RUN_METRICS).drop("run_id")
@@ -182,8 +197,9 @@ def _published(read: Callable[[SparkSession, str, str], DataFrame]) -> Query:
 
 
 def published_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _quarantine(read_quarantine(spark, published(spark, sf_dir).root, RUN_ID)).select(
-        *SOURCE_COLUMNS, "malformed", "_record_hash", "reasons"
+    quarantine = read_quarantine(spark, published(spark, sf_dir).root, RUN_ID)
+    return _quarantine(_with_provenance(quarantine)).select(
+        *SOURCE_COLUMNS, "malformed", "_record_hash", "reasons", "damaged_line", "from_a_file"
     )
 
 
@@ -193,8 +209,139 @@ def manifest_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of a run's manifest: its order, its lengths, and the rows that it lists."""
+    place = published(spark, sf_dir)
+    listed = read_manifest(spark, place.root, RUN_ID)  # refuses lengths that have changed
+    there = data_files(spark, RunLayout(place.root, RUN_ID).daily_sales)
+    held = read_listed_daily_sales(spark, listed).agg(
+        F.count(F.lit(1)).alias("gold_rows"),
+        F.coalesce(F.sum("net_amount"), F.lit(0)).cast("decimal(28,2)").alias("net_revenue"),
+    )
+    return held.select(
+        F.lit(listed == sorted(set(listed))).alias("sorted_and_unique"),
+        F.lit(listed == [row.path for row in there.collect()]).alias("lists_all_files"),
+        "gold_rows",
+        "net_revenue",
+    )
+
+
+LIMITS_TRIED = [step / 20 for step in range(21)]
+
+
+def gate_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which reject limits the rows of each category would pass."""
+    judged = classify(rows_as_landed(spark, sf_dir))
+    ranked = rank_versions(accepted_lines(judged))
+    category = F.coalesce("category", F.lit(""))
+    rejected = rejected_rows(judged).select(category.alias("category"), F.lit(1).alias("r"))
+    counts = (
+        ranked.select(category.alias("category"), F.lit(0).alias("r"), (F.col(RANK) == 1).alias("c"))
+        .unionByName(rejected.withColumn("c", F.lit(False)))
+        .groupBy("category")
+        .agg(F.count(F.lit(1)), F.count_if(F.col("r") == 1), F.count_if(F.col("c")))
+    )
+    rows = []
+    for name, given, turned_away, kept in counts.collect():  # one row for each category
+        gate = RowCounts(given, turned_away, kept, given - turned_away - kept)
+        gate.reconcile()
+        for most in LIMITS_TRIED:
+            try:
+                rows.append((name, most, True, gate.reject_ratio(most)))
+            except QualityError:
+                rows.append((name, most, False, None))
+    return spark.createDataFrame(rows, "category string, most double, passes boolean, ratio double")
+
+
+def overflow_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily groups whose totals no longer fit when every line is worth nine thousand billions."""
+    worth = F.lit(9_000_000_000_000_000).cast("decimal(18,2)")
+    lines = current_lines(_ranked(spark, sf_dir)).withColumns(
+        {"gross_amount": worth, "net_amount": worth}
+    )
+    daily_rows = daily_sales(lines)
+    return plain(
+        daily_rows.select("order_date", "country", "category", "line_count", overflowed().alias("overflows"))
+    )
+
+
+def broken_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sales broken on purpose, each group in a way that its counts choose, and counted."""
     place = published(spark, sf_dir)
-    return data_files(spark, RunLayout(place.root, RUN_ID).daily_sales)
+    rows = read_daily_sales(spark, place.root, RUN_ID).drop("run_id")
+    kind = F.pmod(F.col("line_count") * 5 + F.col("units"), F.lit(11))
+    cent = F.lit("0.01").cast("decimal(18,2)")
+    broken = rows.withColumns(
+        {
+            "net_amount": F.when(kind == 0, F.col("net_amount") + cent).otherwise(F.col("net_amount")),
+            "order_count": F.when(kind == 1, F.col("line_count") + 1).otherwise(F.col("order_count")),
+            "units": F.when(kind == 2, F.col("line_count") - 1).otherwise(F.col("units")),
+            "gross_amount": F.when(kind == 3, -F.col("gross_amount")).otherwise(F.col("gross_amount")),
+            "country": F.when(kind != 4, F.col("country")),
+        }
+    ).withColumn("net_amount", F.col("net_amount").cast("decimal(18,2)"))
+    found = broken.withColumn("source_run_id", F.lit(RUN_ID))
+    checks = summary(found).select("gold_rows", "invalid_rows")
+    marts = reports.mart_integrity(found).select("inconsistent_rows")
+    unfit = misfits(found).agg(F.count(F.lit(1)).alias("misfits"))
+    return checks.select(
+        "*", marts.scalar().alias("inconsistent_rows"), unfit.scalar().alias("misfits")
+    )
+
+
+def ordered_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days and countries of a report, with the places that its own order gives them."""
+    place = published(spark, sf_dir)
+    report = reports.sales_by_day_country(read_daily_sales(spark, place.root, RUN_ID))
+    # Numbers follow the sorted tasks; the report has a row for each day and country.
+    numbered = report.withColumn("at", F.monotonically_increasing_id())
+    position = F.row_number().over(Window.orderBy("at")).cast("long")
+    return plain(numbered.select("order_date", "country", position.alias("position")))
+
+
+def refused_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a published run refuses: its own id again, another batch, and too many rejects."""
+    place, root = published(spark, sf_dir), shared_folder(spark, sf_dir, "refused_runs")
+    tries = {
+        "taken id": lambda: publish_snapshot(spark, place.raw, place.root, RUN_ID, BATCH_DATE),
+        "other batch": lambda: publish_snapshot(spark, place.raw, root, "other", "2026-01-16"),
+        "too many rejects": lambda: publish_snapshot(spark, place.raw, root, "strict", BATCH_DATE, 0.0),
+        "not published": lambda: read_daily_sales(spark, root, "strict"),
+        "other marker": lambda: success_marker(spark, place.root, RUN_ID, "2026-01-16"),
+    }
+    rows = []
+    for name, attempt in tries.items():
+        try:
+            attempt()
+            rows.append((name, None))
+        except Exception as refusal:  # noqa: BLE001 - its kind is the result
+            rows.append((name, type(refusal).__name__))
+    kept = read_quarantine(spark, root, "strict").agg(F.count(F.lit(1)).alias("evidence_rows"))
+    refused = spark.createDataFrame(rows, "attempt string, refusal string")
+    return refused.withColumn("evidence_rows", kept.scalar())
+
+
+def resumed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run checked again and promoted by resuming it, twice."""
+    place, mart = published(spark, sf_dir), shared_folder(spark, sf_dir, "resumed_run")
+    outcomes = [resume_run(spark, place.root, RUN_ID, BATCH_DATE, mart) for _ in range(2)]
+    rows = [
+        (n, o["reconciled"]["gold_rows"], o["reconciled"]["net_revenue"], o["load"]["loaded"], o["load"]["row_count"])
+        for n, o in enumerate(outcomes)
+    ]
+    kinds = "attempt int, gold_rows long, net_revenue decimal(28,2), loaded boolean, row_count long"
+    return spark.createDataFrame(rows, kinds)
+
+
+def catalog_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads and revenue as the catalog shows them."""
+    place = promoted(spark, sf_dir)
+    database = f"mart_{uuid.uuid5(uuid.NAMESPACE_URL, place.mart).hex}"
+    show_mart(spark, database, place.mart)
+    runs_shown = spark.table(f"{database}.pipeline_runs").agg(F.max("row_count").alias("loaded_rows"))
+    return spark.table(f"{database}.daily_sales").agg(
+        F.count(F.lit(1)).alias("gold_rows"),
+        F.coalesce(F.sum("net_amount"), F.lit(0)).cast("decimal(28,2)").alias("net_revenue"),
+    ).withColumn("loaded_rows", runs_shown.scalar())
 
 
 def _report(report: Callable[[DataFrame], DataFrame]) -> Query:
@@ -219,7 +366,7 @@ def _mart_report(report: Callable[[DataFrame], DataFrame]) -> Query:
 
 def promote_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart after a first load and a replay of it into a new mart."""
-    place, mart = published(spark, sf_dir), shared_folder(spark)
+    place, mart = published(spark, sf_dir), shared_folder(spark, sf_dir, "promote_snapshot")
     for _ in range(2):
         promote_run(spark, place.root, mart, RUN_ID)
     return plain(current_mart(spark, mart))
@@ -240,7 +387,8 @@ def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cancelled_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot whose completed lines are all cancelled: it empties the mart it replaces."""
-    place, root, mart = promoted(spark, sf_dir), shared_folder(spark), shared_folder(spark)
+    place, root = promoted(spark, sf_dir), shared_folder(spark, sf_dir, "cancelled_snapshot")
+    mart = f"{root}/mart"
     versions = order_line_versions(spark, sf_dir)
     completed = F.upper(F.trim("status")) == "COMPLETED"
     cancelled = F.when(completed, "cancelled").otherwise(F.col("status"))
@@ -300,6 +448,13 @@ QUERIES: dict[str, Query] = {
     "published_daily_sales": _published(read_daily_sales),
     "row_outcomes": row_outcomes,
     "file_manifest": file_manifest,
+    "gate_outcomes": gate_outcomes,
+    "overflow_gate": overflow_gate,
+    "broken_gold": broken_gold,
+    "ordered_reports": ordered_reports,
+    "refused_runs": refused_runs,
+    "resumed_run": resumed_run,
+    "catalog_mart": catalog_mart,
     "manifest_load": manifest_load,
     "lake_order_lines": lake_order_lines,
     "lake_daily_sales": lake_daily_sales,

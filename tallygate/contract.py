@@ -125,10 +125,6 @@ RUN_METRICS = _table(
 )
 
 
-def names(schema: StructType) -> list[str]:
-    return schema.fieldNames()
-
-
 @dataclass(frozen=True)
 class Limits:
     """Value limits of the contract; the defaults are fixed values of the data contract."""
@@ -138,7 +134,6 @@ class Limits:
     category_bytes: int = 100
     statuses: tuple[str, ...] = ("COMPLETED", "CANCELLED")
     timestamp_format: str = "yyyy-MM-dd'T'HH:mm:ss"
-    field_chars: int = 131_072
 
     def order_days(self) -> int:
         """Number of dates an order can have."""

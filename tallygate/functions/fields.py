@@ -39,7 +39,7 @@ def is_header(line: Column, columns: Sequence[str]) -> Column:
     return line.rlike(rf"\A{BYTE_ORDER_MARK}*+{choices}\z")
 
 
-def split_fields(line: Column, longest_field: int) -> Column:
+def split_fields(line: Column) -> Column:
     """The fields of a line without byte order mark, or null where quoting is broken.
 
     Lines without a quote are the common case and are split at the commas.  The others
@@ -58,7 +58,4 @@ def split_fields(line: Column, longest_field: int) -> Column:
         ).otherwise(piece),
     )
     fields = F.when(~quoted, F.split(line, ",", -1)).when(line.rlike(LINE), unquoted)
-    oversized = (F.length(line) > longest_field) & F.exists(
-        fields, lambda field: F.length(field) > longest_field
-    )
-    return F.when((F.length(line) > 0) & ~oversized, fields)
+    return F.when(F.length(line) > 0, fields)

@@ -1,8 +1,8 @@
 """Validation rules as data: an ordered list of reasons and the condition behind each.
 
-A row carries the outcome of all rules as one bit mask, bit *k* for rule *k*.  The mask
-costs eight bytes per row, needs no array until a rejected row is written out, and makes
-"accepted" the test ``mask = 0``.
+A row carries the outcome of all rules as a bit mask: an array of bigints with ``WORD_BITS``
+rules each, bit *k* of word *w* for rule ``WORD_BITS`` * *w* + *k*.  The column's metadata names
+the reasons, so a mask always reads as the rules that made it.
 """
 
 from __future__ import annotations
@@ -11,12 +11,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygate.contract import CORRUPT, DEFAULT_LIMITS, MONEY, Limits
 
-MOST_RULES = 63
+#: Rules in one bigint; its sign stays clear.
+WORD_BITS = 63
+REASONS = "reasons"
 
 # Patterns of the data contract.  They use [0-9] and \z so that neither
 # other digits nor a trailing line break can slip through.
@@ -125,23 +127,33 @@ def computed_once(value: Column) -> Column:
 
 
 def rule_mask(rules: Sequence[Rule]) -> Column:
-    """One bit per broken rule, packed into a bigint."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"at most {MOST_RULES} rules fit the mask, got {len(rules)}")
-    bits = (
-        F.when(rule.broken, F.lit(1 << position).cast("long")).otherwise(F.lit(0).cast("long"))
-        for position, rule in enumerate(rules)
-    )
-    return computed_once(reduce(Column.bitwiseOR, bits))
-
+    """One bit per broken rule, in as many bigints as the rules need."""
 
-def reasons(mask: Column, rules: Sequence[Rule]) -> Column:
-    """The reasons behind a mask, in rule order."""
-    return F.array_compact(
-        F.array(
-            *(
-                F.when(mask.bitwiseAND(F.lit(1 << position).cast("long")) != 0, rule.reason)
-                for position, rule in enumerate(rules)
-            )
+    def word(part: Sequence[Rule]) -> Column:
+        bits = (
+            F.when(rule.broken, F.lit(1 << at).cast("long")).otherwise(F.lit(0).cast("long"))
+            for at, rule in enumerate(part)
         )
-    )
+        return reduce(Column.bitwiseOR, bits, F.lit(0).cast("long"))
+
+    parts = [rules[at : at + WORD_BITS] for at in range(0, max(1, len(rules)), WORD_BITS)]
+    return computed_once(F.array(*map(word, parts)))
+
+
+def mask_metadata(rules: Sequence[Rule]) -> dict[str, list[str]]:
+    return {REASONS: [rule.reason for rule in rules]}
+
+
+def nothing_broken(mask: Column) -> Column:
+    return F.array_max(mask) == 0
+
+
+def reasons(frame: DataFrame, mask: str) -> Column:
+    """The reasons behind a frame's mask column, in the order of the rules that made it."""
+    names = frame.schema[mask].metadata[REASONS]
+
+    def broken(at: int) -> Column:
+        word, bit = divmod(at, WORD_BITS)
+        return F.get(mask, F.lit(word)).bitwiseAND(F.lit(1 << bit).cast("long")) != 0
+
+    return F.array_compact(F.array(*(F.when(broken(at), name) for at, name in enumerate(names))))

@@ -22,7 +22,9 @@ from tallygate.functions.rules import (
     Rule,
     contract_rules,
     gross_amount,
+    mask_metadata,
     net_amount,
+    nothing_broken,
     parsed_columns,
     reasons,
     rule_mask,
@@ -81,16 +83,16 @@ def classify(
         .withColumns({typed("gross_amount"): gross_amount()})
         .withColumns({typed("net_amount"): net_amount()})
         .withColumns({BROKEN_RULES: rule_mask(rules)})
-        .withColumns({ACCEPTED: F.col(BROKEN_RULES) == 0})
+        .withMetadata(BROKEN_RULES, mask_metadata(rules))
+        .withColumns({ACCEPTED: nothing_broken(F.col(BROKEN_RULES))})
     )
 
 
-def rejected_rows(classified: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
+def rejected_rows(classified: DataFrame) -> DataFrame:
     """Quarantine: the untyped values of rejected rows with every reason, in rule order."""
-    rules = contract_rules() if rules is None else rules
     return (
         classified.filter(~F.col(ACCEPTED))
-        .withColumn("validation_errors", reasons(F.col(BROKEN_RULES), rules))
+        .withColumn("validation_errors", reasons(classified, BROKEN_RULES))
         .select(*QUARANTINE.fieldNames())
     )
 

@@ -78,12 +78,22 @@ def latest_lines(lines: DataFrame, keys: Sequence[str] = VERSION_KEYS) -> DataFr
     )
 
 
+# Crowded keys, or tasks that sort their rows, up to which a table of them is broadcast.
+_MOST_BROADCAST = 100_000
+
+
+def _small(frame: DataFrame, rows: int) -> DataFrame:
+    """The frame, to be broadcast if its known number of rows allows it."""
+    return F.broadcast(frame) if rows <= _MOST_BROADCAST else frame
+
+
 @dataclass(frozen=True)
 class CrowdedKeys:
     """Keys with more versions than one task should rank, and how many rows they hold."""
 
     keys: DataFrame
     rows: int
+    number: int
 
 
 def find_crowded(
@@ -103,15 +113,15 @@ def find_crowded(
     )
     suspects = bucketed.groupBy("key_bucket").count().filter(F.col("count") > crowd)
     crowded = (
-        bucketed.join(F.broadcast(suspects), "key_bucket", "left_semi")
+        bucketed.join(_small(suspects, rows // crowd), "key_bucket", "left_semi")
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("versions"))
         .filter(F.col("versions") > crowd)
     )
     crowded.write.parquet(place)
     found = spark.read.schema(crowded.schema).parquet(place)
-    held = found.agg(F.sum("versions")).first()[0]
-    return CrowdedKeys(found.select(*keys), held) if held else None
+    held, number = found.agg(F.sum("versions"), F.count(F.lit(1))).first()
+    return CrowdedKeys(found.select(*keys), held, number) if number else None
 
 
 def rank_crowded(
@@ -134,7 +144,7 @@ def rank_crowded(
     tasks = max(2, math.ceil(2 * crowded.rows / crowd))
     by = [*(F.col(name) for name in keys), *(order or version_order()), F.col("row_id")]
     (
-        lines.join(F.broadcast(crowded.keys), list(keys), "left_semi")
+        lines.join(_small(crowded.keys, crowded.number), list(keys), "left_semi")
         .withColumn("row_id", F.monotonically_increasing_id())
         .repartitionByRange(tasks, *by)
         .sortWithinPartitions(*by)
@@ -155,11 +165,11 @@ def rank_crowded(
         .agg(F.count(F.lit(1)).alias("rows"))
         .select("task", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
     )
-    numbered = placed.join(F.broadcast(offsets), "task").withColumn(
+    numbered = placed.join(_small(offsets, tasks), "task").withColumn(
         "number", F.col("offset") + F.col("row")
     )
     starts = numbered.groupBy(*keys).agg(F.min("number").alias("start"))
-    return numbered.join(F.broadcast(starts), list(keys)).select(
+    return numbered.join(_small(starts, crowded.number), list(keys)).select(
         *lines.columns, (F.col("number") - F.col("start") + 1).cast("int").alias(RANK)
     )
 
@@ -178,7 +188,7 @@ def rank_at_scale(
         crowded = find_crowded(lines, rows, f"{scratch}/crowded_keys", crowd, keys)
     if crowded is None:
         return rank_versions(lines, keys, order)
-    sparse = lines.join(F.broadcast(crowded.keys), list(keys), "left_anti")
+    sparse = lines.join(_small(crowded.keys, crowded.number), list(keys), "left_anti")
     return rank_versions(sparse, keys, order).unionByName(
         rank_crowded(lines, crowded, f"{scratch}/crowded_lines", crowd, keys, order)
     )

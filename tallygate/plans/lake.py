@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import date
 from decimal import Decimal
 from typing import Any
 
@@ -12,12 +13,8 @@ from tallygate.contract import DAILY_SALES, ORDER_LINES
 from tallygate.operators.daily import summary
 from tallygate.operators.quality import QualityError, checked_run_id
 from tallygate.session import use_contract_time
-from tallygate.sources.runs import (
-    RunLayout,
-    read_daily_sales,
-    read_order_lines,
-    success_marker,
-)
+from tallygate.sources import files
+from tallygate.sources.runs import RunLayout, read_daily_sales, success_marker
 
 # Fixed value: the form of a database or table name.
 _NAME = re.compile(r"[a-z][a-z0-9_]{0,254}(\.[a-z][a-z0-9_]{0,254})?")
@@ -92,14 +89,18 @@ def add_run(spark: SparkSession, database: str, root: str, run_id: str) -> None:
     """Make a published run visible in the lake tables; other runs are not looked at.
 
     A run has one daily-sales directory and one order-line directory per order date.  The
-    contract's date range bounds their number, so they are named rather than crawled for.
+    contract's date range bounds their number; one listing names them and no file is opened.
     """
     layout = RunLayout(root, run_id)
-    days = read_order_lines(spark, root, run_id).select("order_date").distinct().collect()
+    success_marker(spark, root, run_id)
+    days = []
+    if files.exists(spark, layout.order_lines):
+        found = files.children(spark, layout.order_lines)
+        days = [name.split("=", 1)[1] for name in found if name.startswith("order_date=")]
     spec = f"PARTITION (run_id = '{layout.run_id}'{{}})"
     parts = {
         "daily_sales": [spec.format("")],
-        "order_lines": sorted(spec.format(f", order_date = '{day[0]}'") for day in days),
+        "order_lines": [spec.format(f", order_date = DATE '{date.fromisoformat(day)}'") for day in days],
     }
     for name, specs in parts.items():
         table = checked_name(f"{database}.{name}")

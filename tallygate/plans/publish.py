@@ -10,6 +10,9 @@ a lost executor.
 
 from __future__ import annotations
 
+import math
+import re
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -21,8 +24,8 @@ from pyspark.sql.types import StructType
 from tallygate.contract import (
     DAILY_SALES,
     DEFAULT_LIMITS,
+    RECORD_HASH,
     SOURCE_COLUMNS,
-    SOURCE_FILE,
     Limits,
 )
 from tallygate.functions.rules import Rule, contract_rules, typed
@@ -43,6 +46,7 @@ from tallygate.operators.quality import (
 from tallygate.operators.versions import (
     CROWD,
     RANK,
+    VERSION_KEYS,
     current_lines,
     rank_at_scale,
     superseded_lines,
@@ -72,10 +76,11 @@ _RUN = {
 # With a few files open per task, a split write needs no sort in front of it.
 _STAGING = {"spark.sql.maxConcurrentOutputFileWriters": "3"}
 
-# What a shuffled order line takes, and the sizes to aim for when writing them.
-_LINE_BYTES = 160
-_FILE_BYTES = 256 << 20
-_LEAST_BYTES = 64 << 10
+# The size of an order-line file to aim for, and directories that one task writes.
+FILE_BYTES = 256 << 20
+_DATES_PER_TASK = 4
+# Dates of a contract up to which a table with a row for each is broadcast.
+_MOST_DATES = 100_000
 
 
 @dataclass(frozen=True)
@@ -111,7 +116,7 @@ def _stage_lines(
     """Parse and classify all lines; header and blank lines stay only for the check."""
     kept = (KIND, PLACE)
     lines = snapshot_lines(spark, source)
-    classified = classify(parse_lines(lines, limits, kept), rules, limits, kept)
+    classified = classify(parse_lines(lines, kept), rules, limits, kept)
     accepted = F.col(ACCEPTED)
     # Accepted rows go on with their parsed values, rejected ones with their texts.
     texts = [name for name in SOURCE_COLUMNS if typed(name) in classified.columns]
@@ -136,23 +141,35 @@ def _stage_ranked(
     return Staged.write(ranked.withColumn(CURRENT, is_current), f"{scratch}/ranked", CURRENT)
 
 
-def write_order_lines(lines: DataFrame, rows: int, path: str, limits: Limits) -> None:
+def write_order_lines(
+    lines: DataFrame, rows: int, size: int, path: str, limits: Limits, file_bytes: int = FILE_BYTES
+) -> None:
     """One directory per order date, with as few files as the size of the date allows.
 
-    Rows of a date meet in one task, and adaptive execution splits a date that is too
-    large for one.  There are never more tasks to begin with than dates.  The size to aim
-    for follows the snapshot: full files for a large one, a share per core for a small one.
+    Rows are counted per date first, a table of at most ``limits.order_days()`` rows.  A date gets
+    as many shares as it has files of ``file_bytes``, and the rows are dealt out by date and
+    share, so a date has at most that many files however many cores there are.
+
+    size: bytes that the ``rows`` lines take on storage.
     """
-    spark = lines.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = min(_FILE_BYTES, max(_LEAST_BYTES, rows * _LINE_BYTES // cores))
-    tasks = min(4 * cores, limits.order_days())
-    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size)}):
-        (
-            lines.hint("rebalance", tasks, "order_date")
-            .write.partitionBy("order_date")
-            .parquet(path)
-        )
+    share_rows = max(1, math.floor(file_bytes * rows / max(1, size)))
+    dates = lines.groupBy("order_date").agg(F.count(F.lit(1)).alias("date_rows")).withColumn(
+        "shares", F.ceil(F.col("date_rows") / share_rows)
+    )
+    if rows == 0 or (shares := dates.agg(F.sum("shares")).first()[0]) is None:
+        lines.write.partitionBy("order_date").parquet(path)
+        return
+    # The contract's range of dates bounds the table that is broadcast.
+    bounded = limits.order_days() <= _MOST_DATES
+    small = F.broadcast(dates) if bounded else dates
+    dealt = (
+        lines.join(small.select("order_date", "shares"), "order_date")
+        .withColumn("share", F.pmod(F.xxhash64(RECORD_HASH, *VERSION_KEYS), F.col("shares")))
+        .repartition(math.ceil(shares / _DATES_PER_TASK), "order_date", "share")
+    )
+    # Sorted by share as well, so that a task writes one file for each, date by date.
+    ordered = dealt.sortWithinPartitions("order_date", "share").select(*lines.columns)
+    ordered.write.partitionBy("order_date").parquet(path)
 
 
 def build_run(
@@ -173,33 +190,36 @@ def build_run(
     checked_ratio(max_reject_ratio)
     rules = contract_rules(limits) if rules is None else list(rules)
     use_contract_time(spark)
+    staging = f"{layout.staging}-{uuid.uuid4().hex}"  # of this attempt alone
     try:
         with settings(spark, _RUN):
-            return _build(spark, source, layout, max_reject_ratio, rules, limits, crowd)
+            return _build(spark, source, layout, staging, max_reject_ratio, rules, limits, crowd)
     finally:
-        files.remove(spark, layout.staging)
+        files.remove(spark, staging)
 
 
 def _build(
     spark: SparkSession,
     source: str | Sequence[str],
     layout: RunLayout,
+    staging: str,
     most: float,
     rules: Sequence[Rule],
     limits: Limits,
     crowd: int,
 ) -> RunMetrics:
-    staged = _stage_lines(spark, source, f"{layout.staging}/lines", rules, limits)
-    check_headers(
-        staged.read(spark).select(SOURCE_FILE, KIND, PLACE), snapshot_files(spark, source)
-    )
+    # Opening lines are looked at before any row is parsed; filters keep the rest unread
+    # where a file has more than one split.
+    opening = snapshot_lines(spark, source).filter(F.col(PLACE).isNotNull())
+    check_headers(opening, snapshot_files(spark, source), f"{layout.manifests}/bad_headers")
+    staged = _stage_lines(spark, source, f"{staging}/lines", rules, limits)
     outcomes = staged.counts(spark)
     accepted, rejected = (outcomes.get(name, 0) for name in ("accepted", "rejected"))
-    rejected_rows(staged.read(spark, "rejected"), rules).write.parquet(layout.quarantine)
-    with settings(spark, shuffles_for(spark, accepted * _LINE_BYTES)):
+    rejected_rows(staged.read(spark, "rejected")).write.parquet(layout.quarantine)
+    with settings(spark, shuffles_for(spark, files.size(spark, f"{staging}/lines"))):
         lines = accepted_lines(staged.read(spark, "accepted"))
-        ranked = _stage_ranked(spark, lines, accepted, layout.staging, crowd)
-        return _check_and_write(spark, ranked, accepted, rejected, layout, most, limits)
+        ranked = _stage_ranked(spark, lines, accepted, staging, crowd)
+        return _check_and_write(spark, ranked, accepted, rejected, layout, staging, most, limits)
 
 
 def _check_and_write(
@@ -208,6 +228,7 @@ def _check_and_write(
     accepted: int,
     rejected: int,
     layout: RunLayout,
+    staging: str,
     most: float,
     limits: Limits,
 ) -> RunMetrics:
@@ -218,9 +239,10 @@ def _check_and_write(
     ratio = counts.reject_ratio(most)
 
     current = current_lines(ranked.read(spark, "yes"))
-    write_order_lines(current, counts.current, layout.order_lines, limits)
+    held = files.size(spark, ranked.path) * counts.current // max(1, accepted)
+    write_order_lines(current, counts.current, held, layout.order_lines, limits)
 
-    staged_daily = f"{layout.staging}/daily"
+    staged_daily = f"{staging}/daily"
     daily_sales(current).write.parquet(staged_daily)
     daily = spark.read.schema(DAILY_SALES).parquet(staged_daily)
     totals = daily_totals(daily)
@@ -242,6 +264,14 @@ def _now() -> str:
     return datetime.now(UTC).isoformat()
 
 
+def checked_source_date(source: str | Sequence[str], batch_date: str) -> None:
+    """A path that names a batch date has to name the one that is published."""
+    for path in [source] if isinstance(source, str) else source:
+        named = re.findall(r"(?:^|/)batch_date=([^/]*)", path)
+        if named and named[-1] != batch_date:
+            raise ValueError(f"{path} holds another batch than {batch_date}")
+
+
 def reserve_run(spark: SparkSession, layout: RunLayout, batch_date: str | None) -> None:
     """Take the run id; refuse one that has left any output behind."""
     taken: Iterable[str] = (path for path in layout.outputs() if files.exists(spark, path))
@@ -272,6 +302,7 @@ def publish_snapshot(
     layout = RunLayout(root, run_id)
     if batch_date is not None:
         checked_batch_date(batch_date)
+        checked_source_date(source, batch_date)
     checked_ratio(max_reject_ratio)
     reserve_run(spark, layout, batch_date)
     try:

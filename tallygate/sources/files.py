@@ -28,6 +28,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes below a path; the file system sums them up."""
+    target, system = _path(spark, path)
+    return system.getContentSummary(target).getLength()
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what stands directly below a path."""
+    target, system = _path(spark, path)
+    return sorted(status.getPath().getName() for status in system.listStatus(target))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a directory this engine wrote; nothing happens if it is not there."""
     target, system = _path(spark, path)

@@ -18,6 +18,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tallygate.contract import DAILY_SALES, ORDER_LINES, QUARANTINE, RUN_METRICS, SUPERSEDED
 from tallygate.operators.quality import checked_run_id
 from tallygate.session import settings
+from tallygate.sources import files
 
 _RUN = StructField("run_id", StringType())
 
@@ -101,17 +102,28 @@ def _read_run(spark: SparkSession, base: str, path: str, schema: StructType) ->
         return spark.read.schema(known).option("basePath", base).parquet(path)
 
 
-def read_order_lines(spark: SparkSession, root: str, run_id: str) -> DataFrame:
-    """Current lines of a run; a filter on ``order_date`` prunes directories."""
+def read_order_lines(
+    spark: SparkSession, root: str, run_id: str, published: bool = True
+) -> DataFrame:
+    """Current lines of a published run; a filter on ``order_date`` prunes directories.
+
+    ``published=False`` also reads what an unfinished or failed run has left.
+    """
     layout = RunLayout(root, run_id)
+    if published:
+        success_marker(spark, root, run_id)
     lines = _read_run(
         spark, f"{layout.root}/silver/order_lines", layout.order_lines, ORDER_LINES
     )
     return lines.select(*ORDER_LINES.fieldNames(), "run_id")
 
 
-def read_daily_sales(spark: SparkSession, root: str, run_id: str) -> DataFrame:
+def read_daily_sales(
+    spark: SparkSession, root: str, run_id: str, published: bool = True
+) -> DataFrame:
     layout = RunLayout(root, run_id)
+    if published:
+        success_marker(spark, root, run_id)
     return _read_run(spark, f"{layout.root}/gold/daily_sales", layout.daily_sales, DAILY_SALES)
 
 
@@ -144,6 +156,8 @@ def success_marker(
 ) -> dict[str, Any]:
     """The metrics of one published run, after checking whose they are."""
     path = RunLayout(root, run_id).marker("success")
+    if not files.exists(spark, path):
+        raise MarkerError(f"Run {run_id} has no success marker, so it is not published")
     found = spark.read.schema(SUCCESS_MARKER).option("multiLine", True).json(path).first()
     marker = found.asDict() if found else {}
     wanted = {"run_id": run_id} | ({"batch_date": batch_date} if batch_date else {})
@@ -179,14 +193,25 @@ _MANIFEST = "entries array<struct<url:string,mandatory:boolean,meta:struct<conte
 
 
 def read_manifest(spark: SparkSession, root: str, run_id: str) -> list[str]:
-    """The file paths in a run's published manifest."""
-    path = RunLayout(root, run_id).marker("load_manifest")
+    """The file paths in a run's published manifest, whose lengths the files still have."""
+    layout = RunLayout(root, run_id)
+    path = layout.marker("load_manifest")
     entries = spark.read.schema(_MANIFEST).option("multiLine", True).json(path)
-    return [row.url for row in entries.select(F.explode("entries.url").alias("url")).collect()]
+    listed = entries.select(F.explode("entries").alias("entry")).select(
+        F.col("entry.url").alias("path"), F.col("entry.meta.content_length").alias("wanted")
+    )
+    if listed.isEmpty():
+        return []
+    changed = listed.join(data_files(spark, layout.daily_sales), "path", "left").filter(
+        ~F.col("wanted").eqNullSafe(F.col("length"))
+    )
+    if not changed.isEmpty():
+        raise ManifestError(f"Files of {run_id} are not as its manifest lists them")
+    return [row.path for row in listed.collect()]
 
 
-def read_listed_daily_sales(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+def read_listed_daily_sales(spark: SparkSession, listed: Sequence[str]) -> DataFrame:
     """Daily sales from exactly the listed files; no file means an empty snapshot."""
-    if not files:
+    if not listed:
         return spark.createDataFrame([], DAILY_SALES)
-    return spark.read.schema(DAILY_SALES).parquet(*files)
+    return spark.read.schema(DAILY_SALES).parquet(*listed)

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.contract import CORRUPT, DEFAULT_LIMITS, SOURCE_COLUMNS, SOURCE_FILE, Limits
+from tallygate.contract import CORRUPT, SOURCE_COLUMNS, SOURCE_FILE
 from tallygate.functions.fields import (
     is_blank,
     is_header,
@@ -29,6 +29,7 @@ KIND = "line_kind"
 PLACE = "line_place"
 DATA, HEADER, BLANK = "data", "header", "blank"
 
+#: Files that an error message names; the rest are counted, and listed where asked for.
 _FILES_NAMED = 5
 
 
@@ -36,8 +37,10 @@ class HeaderError(ValueError):
     """A file of the snapshot does not begin with the header of the contract."""
 
 
-def snapshot_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
-    return spark.read.text(path).inputFiles()
+def snapshot_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """The name of every file, found by tasks; no file is opened."""
+    listed = spark.read.format("binaryFile").load(path)
+    return listed.select(F.input_file_name().alias(SOURCE_FILE))
 
 
 def snapshot_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -61,8 +64,11 @@ def is_data() -> Column:
     return F.col(KIND) == DATA
 
 
-def check_headers(lines: DataFrame, files: Sequence[str]) -> None:
-    """Fail unless each of the files has lines and its first one is the header."""
+def check_headers(lines: DataFrame, files: DataFrame, report: str | None = None) -> None:
+    """Fail unless each of the files has lines and its first one is the header.
+
+    The error names a few files and how many there are; ``report`` gets all of them.
+    """
     # Minima of numbers aggregate by hashing; the first kind itself would need a sort.
     header = F.when(F.col(KIND) == HEADER, F.col(PLACE))
     opened = (
@@ -71,29 +77,27 @@ def check_headers(lines: DataFrame, files: Sequence[str]) -> None:
         .agg(F.min(PLACE).alias("first_line"), F.min(header).alias("first_header"))
         .filter("first_line = first_header")
     )
-    if opened.count() == len(files):
+    unsound = files.join(opened, SOURCE_FILE, "left_anti")
+    number = unsound.count()
+    if number == 0:
         return
-    unsound = (
-        lines.sparkSession.createDataFrame([(name,) for name in files], f"{SOURCE_FILE} string")
-        .join(opened, SOURCE_FILE, "left_anti")
-        .orderBy(SOURCE_FILE)
-        .take(_FILES_NAMED)
-    )
+    if report is not None:
+        unsound.write.mode("overwrite").json(report)
+    named = [row[0] for row in unsound.orderBy(SOURCE_FILE).take(_FILES_NAMED)]
+    more = f" and {number - len(named)} more" if number > len(named) else ""
+    listed = f", all listed in {report}" if report is not None else ""
     raise HeaderError(
-        "CSV header does not match required column order in "
-        + ", ".join(row[SOURCE_FILE] for row in unsound)
+        f"CSV header does not match required column order{listed} in {', '.join(named)}{more}"
     )
 
 
-def parse_lines(
-    lines: DataFrame, limits: Limits = DEFAULT_LIMITS, keep: Sequence[str] = ()
-) -> DataFrame:
+def parse_lines(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Twelve text columns per line, and the columns to keep.
 
     A line of the wrong width keeps its leading fields, a line with broken quoting keeps
     none; both keep the whole line in the corrupt-record column.
     """
-    fields = split_fields(without_byte_order_mark(F.col("value")), limits.field_chars)
+    fields = split_fields(without_byte_order_mark(F.col("value")))
     sound = F.coalesce(F.size("fields") == len(SOURCE_COLUMNS), F.lit(False))
     return lines.withColumn("fields", fields).select(
         *(F.get("fields", F.lit(at)).alias(name) for at, name in enumerate(SOURCE_COLUMNS)),
@@ -103,9 +107,7 @@ def parse_lines(
     )
 
 
-def read_snapshot(
-    spark: SparkSession, path: str | Sequence[str], limits: Limits = DEFAULT_LIMITS
-) -> DataFrame:
+def read_snapshot(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Check every header, then return the data lines as untyped rows (lazy).
 
     The check reads the files once.  A run that stages its input anyway checks the staged
@@ -113,4 +115,4 @@ def read_snapshot(
     """
     lines = snapshot_lines(spark, path)
     check_headers(lines, snapshot_files(spark, path))
-    return parse_lines(lines.filter(is_data()), limits)
+    return parse_lines(lines.filter(is_data()))

@@ -14,8 +14,8 @@ from harness.queries import QUERIES
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
 
-# Results that only describe files have no SQL.
-WITHOUT_SQL = {"file_manifest"}
+# Every query has its SQL.
+WITHOUT_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -40,8 +40,3 @@ def test_results_equal_the_sql(spark, tables, name):
     assert sorted(frame.columns) == sorted(result.columns)
     found = result_rows(frame.columns, [tuple(row) for row in frame.collect()])
     assert found == result_rows(result.columns, result.fetchall())
-
-
-def test_the_file_manifest_lists_data(spark):
-    files = registered.queries()["file_manifest"](spark, SF_DIR).collect()
-    assert files and all(row.length > 0 for row in files)
