@@ -122,8 +122,13 @@ def computed_once(value: Column) -> Column:
     does so level by level.  For a value built from many parsed columns that means parsing
     every row twice, in code too large to compile.  It leaves expressions alone that
     depend on the task, so the value is tied to the task number, which is never negative.
+    (User filters on other columns don't pass below such a projection either.)
+
+    The test is a function over an array, which whole-stage code can't hold: the projection is
+    compiled on its own, where Spark splits long expressions into methods that the JVM compiles.
     """
-    return F.when(F.spark_partition_id() >= 0, value)
+    here = F.exists(F.array(F.spark_partition_id()), lambda task: task >= 0)
+    return F.when(here, value)
 
 
 def rule_mask(rules: Sequence[Rule]) -> Column:

@@ -57,10 +57,10 @@ from tallygate.sources.runs import RunLayout, load_manifest
 from tallygate.sources.snapshot_csv import (
     KIND,
     PLACE,
+    SnapshotFiles,
     check_headers,
     is_data,
     parse_lines,
-    snapshot_files,
     snapshot_lines,
 )
 
@@ -211,7 +211,7 @@ def _build(
     # Opening lines are looked at before any row is parsed; filters keep the rest unread
     # where a file has more than one split.
     opening = snapshot_lines(spark, source).filter(F.col(PLACE).isNotNull())
-    check_headers(opening, snapshot_files(spark, source), f"{layout.manifests}/bad_headers")
+    check_headers(opening, SnapshotFiles(spark, source), f"{layout.manifests}/bad_headers")
     staged = _stage_lines(spark, source, f"{staging}/lines", rules, limits)
     outcomes = staged.counts(spark)
     accepted, rejected = (outcomes.get(name, 0) for name in ("accepted", "rejected"))

@@ -37,10 +37,20 @@ class HeaderError(ValueError):
     """A file of the snapshot does not begin with the header of the contract."""
 
 
-def snapshot_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """The name of every file, found by tasks; no file is opened."""
-    listed = spark.read.format("binaryFile").load(path)
-    return listed.select(F.input_file_name().alias(SOURCE_FILE))
+class SnapshotFiles:
+    """The files of a snapshot, empty ones included, as Spark has listed them.
+
+    Their names stay in Spark's own listing; they are handed out only to name bad files.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | Sequence[str]):
+        self._spark, self._listed = spark, spark.read.text(path)._jdf.inputFiles()
+
+    def __len__(self) -> int:
+        return len(self._listed)
+
+    def frame(self) -> DataFrame:
+        return self._spark.createDataFrame([(name,) for name in self._listed], f"{SOURCE_FILE} string")
 
 
 def snapshot_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -64,7 +74,7 @@ def is_data() -> Column:
     return F.col(KIND) == DATA
 
 
-def check_headers(lines: DataFrame, files: DataFrame, report: str | None = None) -> None:
+def check_headers(lines: DataFrame, files: SnapshotFiles, report: str | None = None) -> None:
     """Fail unless each of the files has lines and its first one is the header.
 
     The error names a few files and how many there are; ``report`` gets all of them.
@@ -77,10 +87,10 @@ def check_headers(lines: DataFrame, files: DataFrame, report: str | None = None)
         .agg(F.min(PLACE).alias("first_line"), F.min(header).alias("first_header"))
         .filter("first_line = first_header")
     )
-    unsound = files.join(opened, SOURCE_FILE, "left_anti")
-    number = unsound.count()
+    number = len(files) - opened.count()
     if number == 0:
         return
+    unsound = files.frame().join(opened, SOURCE_FILE, "left_anti")
     if report is not None:
         unsound.write.mode("overwrite").json(report)
     named = [row[0] for row in unsound.orderBy(SOURCE_FILE).take(_FILES_NAMED)]
@@ -114,5 +124,5 @@ def read_snapshot(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     lines instead, see ``plans.publish``.
     """
     lines = snapshot_lines(spark, path)
-    check_headers(lines, snapshot_files(spark, path))
+    check_headers(lines, SnapshotFiles(spark, path))
     return parse_lines(lines.filter(is_data()))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from tallygate.contract import SOURCE_COLUMNS
 
 HEADER = ",".join(SOURCE_COLUMNS)
@@ -11,13 +13,13 @@ BOOK = {
     "line_id": "1",
     "customer_id": "K1",
     "product_id": "A1",
-    "category": "Books",
-    "country": "US",
-    "quantity": "2",
-    "unit_price": "12.50",
-    "discount_amount": "1.00",
-    "order_timestamp": "2026-03-10T08:30:00",
-    "updated_at": "2026-03-10T08:30:00",
+    "category": "Lamps",
+    "country": "PT",
+    "quantity": "4",
+    "unit_price": "7.35",
+    "discount_amount": "2.40",
+    "order_timestamp": "2023-05-17T18:04:09",
+    "updated_at": "2023-05-17T18:04:09",
     "status": "COMPLETED",
 }
 
@@ -34,70 +36,84 @@ def csv_line(**change):
     return ",".join({**BOOK, **change}[name] for name in SOURCE_COLUMNS)
 
 
-# A snapshot with 20 rows: 8 rejected, 2 superseded, 10 current of which one is cancelled.
-# Columns: order, line, customer, product, category, country, quantity, price, discount,
-# order time, update time, status.
-_DAY1, _DAY2 = "2026-01-15T", "2026-01-16T"
-
-
-def _row(order, line, customer, product, category, country, quantity, price, discount, ordered,
-         updated=None, status="COMPLETED"):
-    return ",".join(
-        [order, line, customer, product, category, country, quantity, price, discount, ordered,
-         updated or ordered, status]
-    )
-
-
-SAMPLE = [
-    _row("A1", "1", "K1", "P1", "Electronics", "US", "2", "25.00", "5.00", _DAY1 + "09:00:00"),
-    _row("A1", "2", "K1", "P2", "Books", "US", "1", "12.50", "0.00", _DAY1 + "09:00:00"),
-    _row("A2", "1", "K2", "P3", "Home", "CA", "3", "10.00", "3.00", _DAY1 + "11:00:00"),
-    _row("A3", "1", "K3", "P4", "Electronics", "US", "1", "100.00", "10.00", _DAY1 + "12:00:00"),
-    _row("A3", "1", "K3", "P4", "Electronics", "US", "2", "100.00", "20.00", _DAY1 + "12:00:00",
-         _DAY1 + "13:00:00"),
-    _row("A4", "1", "K4", "P5", "Books", "GB", "2", "15.00", "0.00", _DAY1 + "14:00:00"),
-    _row("A5", "1", "K5", "P6", "Home", "US", "1", "50.00", "0.00", _DAY1 + "15:00:00",
-         _DAY1 + "16:00:00", "CANCELLED"),
-    _row("A6", "1", "K1", "P7", "Books", "US", "4", "7.50", "2.00", _DAY2 + "10:00:00"),
-    _row("A7", "1", "K2", "P8", "Electronics", "CA", "1", "200.00", "25.00", _DAY2 + "11:00:00"),
-    _row("A8", "1", "K3", "P9", "Home", "GB", "2", "20.00", "0.00", _DAY2 + "12:00:00"),
-    _row("A9", "1", "K4", "P10", "Books", "US", "2", "8.00", "1.00", _DAY2 + "13:00:00"),
-    _row("A9", "1", "K4", "P10", "Books", "US", "3", "8.00", "1.00", _DAY2 + "13:00:00",
-         _DAY2 + "14:00:00"),
-    _row("X1", "1", "K21", "P21", "Books", "US", "1.5", "10.00", "0.00", _DAY2 + "15:00:00"),
-    _row("X2", "1", "K22", "P22", "Home", "US", "1", "-5.00", "0.00", _DAY2 + "15:00:00"),
-    _row("X3", "1", "K23", "P23", "Books", "US", "1", "10.00", "11.00", _DAY2 + "15:00:00"),
-    _row("X4", "1", "K24", "P24", "Books", "US", "1", "10.00", "0.00", "soon",
-         _DAY2 + "15:00:00"),
-    _row("X5", "1", "", "P25", "Books", "US", "1", "10.00", "0.00", _DAY2 + "15:00:00"),
-    _row("X6", "1", "K26", "P26", "Books", "US", "1", "10.00", "0.00", _DAY2 + "15:00:00",
-         status="PENDING"),
-    _row("X7", "1", "K27", "P27", "Books", "US", "1", "10.00", "0.00", _DAY2 + "15:00:00")
-    + ",surplus",
-    _row("A2", "1", "K2", "P3", "Home", "CA", "0", "10.00", "3.00", _DAY1 + "11:00:00",
-         _DAY2 + "20:00:00"),
+# A snapshot made by rule: 26 lines of 13 orders over three days, newer versions of every
+# seventh line, and a row for each of a few defects. What a run makes of it is worked out in
+# plain Python below.
+def _line(n, **change):
+    moment = f"2024-06-{3 + n % 3:02d}T{6 + n % 12:02d}:15:00"
+    return {
+        "order_id": f"S{n // 2}",
+        "line_id": str(n % 2 + 1),
+        "customer_id": f"C{n % 5}",
+        "product_id": f"G{n}",
+        "category": ("Garden", "Lamps", "Music")[n % 4 % 3],
+        "country": ("NO", "PT", "JP")[n % 3],
+        "quantity": str(1 + n * n % 6),
+        "unit_price": f"{3 + n}.{(n * 17) % 100:02d}",
+        "discount_amount": f"{n % 3}.{n % 10}5",
+        "order_timestamp": moment,
+        "updated_at": moment,
+        "status": "CANCELLED" if n % 9 == 4 else "COMPLETED",
+        **change,
+    }
+
+
+SOUND = [_line(n) for n in range(26)]
+NEWER = [
+    {**line, "quantity": str(int(line["quantity"]) + 5), "updated_at": "2024-06-09T01:02:03"}
+    for line in SOUND[::7]
+]
+# (change, reasons)
+REJECTED = [
+    ({"category": ""}, ["missing_category"]),
+    ({"country": "N0"}, ["invalid_country"]),
+    ({"status": "LOST"}, ["invalid_status"]),
+    ({"quantity": "six", "updated_at": "2024-06-01T00:00:00"}, ["invalid_quantity", "updated_before_order"]),
+    ({"discount_amount": "9999.5"}, ["discount_exceeds_gross"]),
 ]
+_BAD = [_line(100 + n, order_id=f"R{n}", **change) for n, (change, _) in enumerate(REJECTED)]
+
+SAMPLE = [",".join(row[name] for name in SOURCE_COLUMNS) for row in [*SOUND, *_BAD, *NEWER]]
+SAMPLE.append(SAMPLE[0].replace("S0,1", "R9,1") + ",more")
+SAMPLE_REASONS = {f"R{n}": reasons for n, (_, reasons) in enumerate(REJECTED)} | {"R9": ["malformed_csv"]}
+CURRENT = [next((v for v in NEWER if v["product_id"] == line["product_id"]), line) for line in SOUND]
+
+
+def _money(row):
+    gross = Decimal(row["quantity"]) * Decimal(row["unit_price"])
+    return gross, Decimal(row["discount_amount"]), gross - Decimal(row["discount_amount"])
+
+
+def day_of(row):
+    return row["order_timestamp"][:10]
+
+
+def totals(rows, key):
+    """orders, lines, units, gross, discount and net of the completed rows of each key."""
+    found = {}
+    for row in rows:
+        if row["status"] == "COMPLETED":
+            orders, sums = found.setdefault(key(row), (set(), [0, 0, Decimal(0), Decimal(0), Decimal(0)]))
+            orders.add(row["order_id"])
+            for at, value in enumerate((1, int(row["quantity"]), *_money(row))):
+                sums[at] += value
+    return {key: (len(orders), *sums) for key, (orders, sums) in found.items()}
 
-SAMPLE_REASONS = {
-    "X1": ["invalid_quantity"],
-    "X2": ["invalid_unit_price", "discount_exceeds_gross"],
-    "X3": ["discount_exceeds_gross"],
-    "X4": ["invalid_order_timestamp"],
-    "X5": ["missing_customer_id"],
-    "X6": ["invalid_status"],
-    "X7": ["malformed_csv"],
-    "A2": ["invalid_quantity", "discount_exceeds_gross"],
-}
 
 # date, country, category, orders, lines, units, gross, discount, net
 SAMPLE_DAILY = {
-    ("2026-01-15", "CA", "Home", 1, 1, 3, "30.00", "3.00", "27.00"),
-    ("2026-01-15", "GB", "Books", 1, 1, 2, "30.00", "0.00", "30.00"),
-    ("2026-01-15", "US", "Books", 1, 1, 1, "12.50", "0.00", "12.50"),
-    ("2026-01-15", "US", "Electronics", 2, 2, 4, "250.00", "25.00", "225.00"),
-    ("2026-01-16", "CA", "Electronics", 1, 1, 1, "200.00", "25.00", "175.00"),
-    ("2026-01-16", "GB", "Home", 1, 1, 2, "40.00", "0.00", "40.00"),
-    ("2026-01-16", "US", "Books", 2, 2, 7, "54.00", "3.00", "51.00"),
+    (*key, *sums[:3], *map(str, sums[3:]))
+    for key, sums in totals(CURRENT, lambda r: (day_of(r), r["country"], r["category"])).items()
+}
+SAMPLE_NET = sum(sums[5] for sums in totals(CURRENT, lambda r: ()).values())
+SAMPLE_METRICS = {
+    "input_rows": len(SAMPLE),
+    "rejected_rows": len(SAMPLE_REASONS),
+    "duplicate_rows": len(NEWER),
+    "valid_rows": len(SOUND),
+    "gold_rows": len(SAMPLE_DAILY),
+    "reject_ratio": len(SAMPLE_REASONS) / len(SAMPLE),
+    "net_amount": str(SAMPLE_NET),
 }
 
 

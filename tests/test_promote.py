@@ -5,7 +5,7 @@ from datetime import UTC, datetime
 
 import pytest
 
-from shapes import SAMPLE, SAMPLE_DAILY, csv_line, write_csv
+from shapes import CURRENT, SAMPLE, SAMPLE_DAILY, SAMPLE_NET, csv_line, write_csv
 from tallygate.contract import DAILY_SALES, LOAD_AUDIT, MART
 from tallygate.operators.quality import QualityError
 from tallygate.operators.reports import mart_integrity
@@ -72,7 +72,7 @@ def test_a_load_replaces_the_mart_and_a_replay_does_nothing(spark, lake, tmp_pat
     again = promote_run(spark, lake, mart, "small")
     assert again == {**first, "loaded": False}
     assert mart_rows(spark, mart) == SAMPLE_DAILY
-    assert audited(spark, mart) == [("sample", 7), ("small", 1)]
+    assert audited(spark, mart) == [("sample", len(SAMPLE_DAILY)), ("small", 1)]
     integrity = mart_integrity(current_mart(spark, mart)).first()
     assert (integrity.snapshot_count, integrity.inconsistent_rows) == (1, 0)
     origins = current_mart(spark, mart).select("source_run_id", "loaded_at").distinct().collect()
@@ -85,7 +85,7 @@ def test_a_run_without_sales_empties_the_mart(spark, lake, tmp_path):
     promote_run(spark, lake, mart, "sample")
     assert promote_run(spark, lake, mart, "none")["row_count"] == 0
     assert mart_rows(spark, mart) == set()
-    assert audited(spark, mart) == [("none", 0), ("sample", 7)]
+    assert audited(spark, mart) == [("none", 0), ("sample", len(SAMPLE_DAILY))]
 
 
 def test_the_loser_of_a_race_tries_the_next_number(spark, lake, tmp_path, monkeypatch):
@@ -99,7 +99,7 @@ def test_the_loser_of_a_race_tries_the_next_number(spark, lake, tmp_path, monkey
 
     monkeypatch.setattr(promote_plan.files, "write_once", overtaken)
     assert promote_run(spark, lake, mart, "sample")["loaded"]
-    assert audited(spark, mart) == [("sample", 7), ("small", 1)]
+    assert audited(spark, mart) == [("sample", len(SAMPLE_DAILY)), ("small", 1)]
     assert mart_rows(spark, mart) == SAMPLE_DAILY
 
 
@@ -114,7 +114,7 @@ def test_the_same_run_is_loaded_by_one_of_two_racers(spark, lake, tmp_path, monk
 
     monkeypatch.setattr(promote_plan.files, "write_once", overtaken)
     assert not promote_run(spark, lake, mart, "sample")["loaded"]
-    assert audited(spark, mart) == [("sample", 7)]
+    assert audited(spark, mart) == [("sample", len(SAMPLE_DAILY))]
     assert len(list((tmp_path / "daily_sales").iterdir())) == 1
 
 
@@ -182,8 +182,9 @@ def test_rows_that_do_not_fit_the_mart_are_found(spark, stage, lake, tmp_path, m
 
 def test_reconciliation_compares_rows_and_cents(spark, lake, tmp_path):
     found = reconcile_run(spark, lake, "sample")
-    assert (found["gold_rows"], found["invalid_rows"]) == (7, 0)
-    assert (found["line_count"], found["units"], str(found["net_revenue"])) == (9, 20, "560.50")
+    assert (found["gold_rows"], found["invalid_rows"]) == (len(SAMPLE_DAILY), 0)
+    lines, units = (sum(row[at] for row in SAMPLE_DAILY) for at in (4, 5))
+    assert (found["line_count"], found["units"], found["net_revenue"]) == (lines, units, SAMPLE_NET)
     assert reconcile_run(spark, lake, "none")["gold_rows"] == 0
     raw = write_csv(tmp_path / "raw", "a.csv", [csv_line()])
     for run_id, change in {"cents": {"net_amount": "24.01"}, "rows": {"gold_rows": 2}}.items():
@@ -199,7 +200,7 @@ def test_reconciliation_compares_rows_and_cents(spark, lake, tmp_path):
 
 def test_resuming_checks_identity_and_loads_without_a_rebuild(spark, lake, tmp_path):
     checked = resume_run(spark, lake, "sample", "2026-01-20")
-    assert checked["metrics"]["valid_rows"] == 10 and "load" not in checked
+    assert checked["metrics"]["valid_rows"] == len(CURRENT) and "load" not in checked
     loaded = resume_run(spark, lake, "sample", "2026-01-20", str(tmp_path))
     assert loaded["load"]["loaded"]
     with pytest.raises(MarkerError):
@@ -211,9 +212,9 @@ def test_the_catalog_shows_the_last_load(spark, lake, tmp_path):
     show_mart(spark, "mart_test", mart)
     view, runs = "mart_test.daily_sales", "mart_test.pipeline_runs"
     assert spark.table(view).schema.names == MART.names and spark.table(view).count() == 0
-    for run_id, count in (("small", 1), ("sample", 7), ("none", 0)):
+    for run_id, count in (("small", 1), ("sample", len(SAMPLE_DAILY)), ("none", 0)):
         promote_run(spark, lake, mart, run_id)
         show_mart(spark, "mart_test", mart)
         assert spark.table(view).count() == count
     listed = spark.table(runs).orderBy("sequence").select("run_id", "row_count").collect()
-    assert [tuple(row) for row in listed] == [("small", 1), ("sample", 7), ("none", 0)]
+    assert [tuple(row) for row in listed] == [("small", 1), ("sample", len(SAMPLE_DAILY)), ("none", 0)]
