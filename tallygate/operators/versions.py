@@ -55,27 +55,12 @@ def superseded_lines(ranked: DataFrame) -> DataFrame:
 
 
 def latest_lines(lines: DataFrame, keys: Sequence[str] = VERSION_KEYS) -> DataFrame:
-    """Current versions only, as one aggregation that combines before it shuffles.
+    """Current versions only, for where the superseded ones are not needed.
 
-    Each task sends one row per key it has seen, so no key is too large.  Use it where
-    the superseded versions are not needed.
+    With the filter right on the rank, each task keeps one row per key that it has seen before
+    anything is shuffled (a group limit), so no key is too large.
     """
-    # The version order as one ascending value: time negated, hex digits mirrored.
-    mirrored = F.translate(RECORD_HASH, "0123456789abcdef", "fedcba9876543210")
-    place = F.struct(
-        (-F.unix_micros("updated_at")).alias("age"),
-        mirrored.alias("hash"),
-        F.col(SOURCE_FILE).isNull().alias("nowhere"),
-        SOURCE_FILE,
-    )
-    rest = [name for name in ORDER_LINES.fieldNames() if name not in keys]
-    newest = F.min_by(F.struct(*rest), place).alias("line")
-    return (
-        lines.groupBy(*keys)
-        .agg(newest)
-        .select(*keys, "line.*")
-        .select(*ORDER_LINES.fieldNames())
-    )
+    return current_lines(rank_versions(lines, keys))
 
 
 # Crowded keys, or tasks that sort their rows, up to which a table of them is broadcast.

@@ -112,6 +112,12 @@ def test_latest_lines_equal_the_first_ranks(spark, skewed):
     )
 
 
+def test_latest_lines_cut_keys_down_before_the_shuffle(spark, skewed):
+    plan = latest_lines(skewed)._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange hashpartitioning")
+    assert "WindowGroupLimit" in plan[exchange:] and "Partial" in plan[exchange:]
+
+
 def test_orders_are_distinct_within_a_group(spark):
     changes = [
         {"order_id": f"D{n % 4}", "line_id": str(n), "country": ("NO", "JP")[n % 3 % 2]} for n in range(14)
