@@ -51,18 +51,46 @@ def _field(name: str) -> Column:
     return F.when(value.rlike('[",]'), quoted).otherwise(value)
 
 
+def damaged_line() -> Column:
+    """A version's CSV line, with the damage planted for it."""
+    line = F.concat_ws(",", *map(_field, SOURCE_COLUMNS))
+    return (
+        F.when(F.col("damage") == "extra", F.concat(line, F.lit(",surplus")))
+        .when(F.col("damage") == "quote", F.concat(F.lit('"'), line))
+        .otherwise(line)
+    )
+
+
+# How the files of ``write_headed_files`` begin, by number; the first lines of 1 and 3 are no header.
+_HEADER = ",".join(SOURCE_COLUMNS)
+OPENINGS = [
+    [_HEADER],
+    ["", _HEADER],
+    ["\ufeff" + _HEADER, "", "   "],
+    [",".join(reversed(SOURCE_COLUMNS)), _HEADER],
+    [",".join(f'"{name}"' for name in SOURCE_COLUMNS), _HEADER],
+]
+
+
+def write_headed_files(versions: DataFrame, path: str) -> str:
+    """The snapshot's lines in a file for each line number, each opened in one of five ways."""
+    number = F.coalesce(F.col("line_id").try_cast("int"), F.lit(0))
+    data = versions.select(number.alias("file"), F.lit(len(SOURCE_COLUMNS)).alias("at"), damaged_line().alias("value"))
+    files_there = data.select("file").distinct()
+    openings = F.array(*[F.array(*map(F.lit, lines)) for lines in OPENINGS])
+    opened = files_there.select("file", F.posexplode(F.get(openings, F.col("file") % len(OPENINGS))).alias("at", "value"))
+    lines = opened.unionByName(data).repartition("file").sortWithinPartitions("file", "at")
+    lines.select("value", "file").write.partitionBy("file").text(path)
+    return path
+
+
 def write_snapshot_csv(versions: DataFrame, path: str) -> str:
     """CSV files led by the header, with the planted damage, one file per task.
 
     The lines are made here, because no CSV writer writes broken ones.  Spark's writer gets
     them as a single column that is named like the header line, with quoting off.
     """
-    line = F.concat_ws(",", *map(_field, SOURCE_COLUMNS))
-    damaged = (
-        F.when(F.col("damage") == "extra", F.concat(line, F.lit(",surplus")))
-        .when(F.col("damage") == "quote", F.concat(F.lit('"'), line))
-        .otherwise(line)
-    )
+    damaged = damaged_line()
     as_is = {
         "header": True,
         "sep": "\u0001",

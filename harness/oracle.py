@@ -239,6 +239,11 @@ def sql() -> dict[str, str]:
             "('other batch', 'ValueError'), ('too many rejects', 'QualityError'), "
             "('not published', 'MarkerError'), ('other marker', 'MarkerError')) AS t(attempt, refusal)"
         ),
+        "header_contract": (
+            "SELECT file, file % 5 NOT IN (1, 3) AS sound, "
+            "CASE WHEN file % 5 NOT IN (1, 3) THEN count(*) END AS data_rows "
+            "FROM (SELECT coalesce(TRY_CAST(line_id AS INTEGER), 0) AS file FROM versions) GROUP BY file"
+        ),
         "resumed_run": (
             "SELECT CAST(attempt AS INTEGER) AS attempt, gold_rows, net_revenue, attempt = 0 AS loaded, "
             "gold_rows AS row_count FROM (SELECT count(*) AS gold_rows, "

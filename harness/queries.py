@@ -19,6 +19,7 @@ from harness.landing import (
     promoted,
     published,
     shared_folder,
+    write_headed_files,
     write_snapshot_csv,
 )
 from tallygate.contract import CORRUPT, ORDER_LINES, RUN_METRICS, SOURCE_COLUMNS, SOURCE_FILE
@@ -58,7 +59,13 @@ from tallygate.sources.runs import (
     RunLayout,
     success_marker,
 )
-from tallygate.sources.snapshot_csv import read_snapshot
+from tallygate.sources.snapshot_csv import (
+    HeaderError,
+    SnapshotFiles,
+    check_headers,
+    read_snapshot,
+    snapshot_lines,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _NOT_COMPARED = ("_source_file", CORRUPT, "loaded_at", "completed_at")
@@ -320,6 +327,25 @@ def refused_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refused.withColumn("evidence_rows", kept.scalar())
 
 
+def header_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which files break the header contract, and the rows of those that keep it."""
+    root = shared_folder(spark, sf_dir, "header_contract")
+    raw = write_headed_files(order_line_versions(spark, sf_dir), f"{root}/raw")
+    report = f"{root}/bad"
+    try:
+        check_headers(snapshot_lines(spark, raw), SnapshotFiles(spark, raw), report)
+    except HeaderError:
+        pass
+    number = F.regexp_extract(SOURCE_FILE, "file=([0-9]+)", 1).cast("int").alias("file")
+    bad = spark.read.schema(f"{SOURCE_FILE} string").json(report).select(number)
+    numbers = {row[0] for row in bad.collect()}  # at most one for each of a few line numbers
+    places = [row[0] for row in SnapshotFiles(spark, raw).frame().collect()]
+    good = [p for p in places if not any(f"file={n}/" in p for n in numbers)]
+    sound = read_snapshot(spark, good).groupBy(number).agg(F.count(F.lit(1)).alias("data_rows"))
+    refused = bad.withColumn("data_rows", F.lit(None).cast("long"))
+    return sound.unionByName(refused).withColumn("sound", F.col("data_rows").isNotNull())
+
+
 def resumed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run checked again and promoted by resuming it, twice."""
     place, mart = published(spark, sf_dir), shared_folder(spark, sf_dir, "resumed_run")
@@ -453,6 +479,7 @@ QUERIES: dict[str, Query] = {
     "broken_gold": broken_gold,
     "ordered_reports": ordered_reports,
     "refused_runs": refused_runs,
+    "header_contract": header_contract,
     "resumed_run": resumed_run,
     "catalog_mart": catalog_mart,
     "manifest_load": manifest_load,
