@@ -1,0 +1,100 @@
+"""The pipeline over planted cases, and the registered queries against their SQL."""
+
+from __future__ import annotations
+
+import os
+import random
+
+import pytest
+
+import corpus_pipeline
+from harness.compare import duckdb_over, result_rows
+from tallygate.llm.common import vocabulary
+from tallygate.llm.packing import pieces
+from tallygate.llm.queries import ORACLE_SQL, QUERIES
+from tests.llm.shapes import documents, prose
+
+SF_DIR = "/root/testdata/sf0.001"
+HERE = os.path.isdir(SF_DIR)
+
+
+@pytest.fixture(scope="module")
+def planted(spark, tmp_path_factory):
+    """Clean documents 0 to 299 and, from 1000 on, one case of each kind for a few of them."""
+    rng = random.Random(2)
+    clean = {k: prose(k, 150) for k in range(300)}
+    rows = dict(clean)
+    exact, near, passages, leaks, toxic = {}, {}, {}, {}, {}
+    for k in range(10):
+        exact[1000 + k] = clean[k]
+        words = clean[k + 10].split()
+        words[rng.randrange(150)] = "edited"
+        near[1100 + k] = " ".join(words)
+        passages[1200 + k] = f"{prose(5000 + k, 80)} {' '.join(clean[k + 20].split()[40:100])} {prose(6000 + k, 80)}"
+        leaks[1300 + k] = f"{prose(7000 + k, 60)} {prose(900 + k, 40)} {prose(8000 + k, 60)}"
+    labels = [(k, 1, 0) for k in range(150)]
+    for k in range(80):
+        words = prose(9000 + k, 100).split()
+        words.insert(rng.randrange(100), ("grobnak", "zlurt")[k % 2])
+        toxic[1400 + k] = " ".join(words)
+        if k < 60:
+            labels.append((1400 + k, 1, 1))
+    for case in (exact, near, passages, leaks, toxic):
+        rows |= case
+    place = str(tmp_path_factory.mktemp("planted"))
+    documents(spark, list(rows.items()) + [(None, None), (2000, None), (2001, "")]).write.parquet(f"{place}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{place}/labels.parquet")
+    items = [(k, prose(900 + k, 40)) for k in range(10)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{place}/benchmark.parquet")
+    return place, clean, exact, near, passages, leaks, toxic
+
+
+def test_each_stage_catches_its_cases_and_keeps_the_rest(spark, planted, tmp_path):
+    place, clean, exact, near, passages, leaks, toxic = planted
+    docs = spark.read.parquet(f"{place}/documents.parquet")
+    columns, seen = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, place).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        seen[name] = docs
+        if name != "pack":
+            assert docs.columns == columns
+            left = {r["doc_id"] for r in docs.select("doc_id").collect()}
+            assert set(clean) <= left, name
+            texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+            assert all(texts[k] == clean[k] for k in clean)
+        gone = {"toxicity": toxic, "near_duplicates": exact | near, "decontaminate": leaks}.get(name, {})
+        assert not set(gone) & ({r["doc_id"] for r in docs.select("doc_id").collect()})
+    texts = {r["doc_id"]: r["text"] for r in seen["suffix_dedup"].collect()}
+    for k, text in passages.items():
+        assert len(texts[k]) < 0.75 * len(text) and texts[k].startswith(text[:200])
+    packed = {(r["doc_id"], r["piece"], r["ids_crc32"]) for r in seen["pack"].collect()}
+    kept = pieces(seen["decontaminate"], vocabulary()).collect()
+    assert packed == {(r["doc_id"], r["piece"], r["ids_crc32"]) for r in kept}
+
+
+def test_a_run_returns_the_last_stage(spark, planted):
+    found = corpus_pipeline.run(spark, planted[0])
+    assert found.count() > 300 and "sequence_id" in found.columns
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_there_is_one_query_for_each_number():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.skipif(not HERE, reason="no test tables here")
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_results_equal_the_sql(spark, name):
+    frame = QUERIES[name](spark, SF_DIR)
+    result = duckdb_over(SF_DIR).sql(ORACLE_SQL[name])
+    assert sorted(frame.columns) == sorted(result.columns)
+    found = result_rows(frame.columns, [tuple(row) for row in frame.collect()])
+    assert found == result_rows(result.columns, result.fetchall())
+
+
+@pytest.mark.skipif(not HERE, reason="no test tables here")
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL) - {"op7_html_text"}))
+def test_every_document_has_its_rows(spark, name):
+    found = QUERIES[name](spark, SF_DIR).select("doc_id").distinct().count()
+    assert found == spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id").distinct().count()
