@@ -18,7 +18,20 @@ SPACED = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Rows that go to a Python worker at once, at most.
+BATCH_ROWS = 256
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to ``BATCH_ROWS`` rows: texts are long, and a batch stands
+    in the memory of an executor and of its worker at the same time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -72,7 +72,7 @@ def build_index(docs: DataFrame, windows: Windows) -> DataFrame:
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Ids(vocabulary)
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             counts, terms, positions = [], [], []
             for text in batch["text"].cast(pa.binary()).to_pylist():
                 words = words_of(text or b"")

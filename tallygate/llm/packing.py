@@ -9,14 +9,14 @@ no bin fits and all are open, the fullest closes first.
 
 from __future__ import annotations
 
-import regex
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from struct import pack as pack_ids
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +28,8 @@ END_ID = 0
 OPEN_BINS = 4096
 #: Pieces that one task packs.
 PIECES = 250_000
-#: Words and chunks whose ids a worker remembers.
-REMEMBERED = 250_000
+#: Words and chunks whose ids a task remembers.
+REMEMBERED = 200_000
 
 #: The pre-tokenizer's pattern, a fixed value of the vocabulary file.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -37,20 +37,39 @@ _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}
 _PLAIN = regex.compile(r"[\x21-\x7E\xA1-įı-ɏ]+")
 
 
-class _Words(dict):
-    """The ids, as little-endian 32-bit bytes, of words that the split pattern gives."""
+class _Encoder:
+    """The tokenizer, made anew by each task, so that an idle worker holds none."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
-    def __init__(self, model):
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in printable]
         self.letters = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
-        self.model = model
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
+
+    def word(self, word: str) -> bytes:
+        spelled = word.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        return pack_ids(f"<{len(ids)}I", *ids)
+
+    def text(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return pack_ids(f"<{len(ids)}I", *ids)
+
+
+class _Words(dict):
+    """The ids, as little-endian 32-bit bytes, of words that the split pattern gives."""
+
+    def __init__(self, encoder: _Encoder):
+        self.encoder = encoder
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        spelled = word.encode().decode("latin-1").translate(self.letters)
-        ids = self[word] = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+        ids = self[word] = self.encoder.word(word)
         return ids
 
 
@@ -58,11 +77,8 @@ class _Chunks(dict):
     """The ids of chunks between ASCII white space, which no token and no normalization crosses."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.words = _Words(self.tokenizer.model)
+        self.encoder = _Encoder(path)
+        self.words = _Words(self.encoder)
 
     def __missing__(self, chunk: bytes) -> bytes:
         if len(self) >= REMEMBERED:
@@ -71,19 +87,14 @@ class _Chunks(dict):
         if _PLAIN.fullmatch(text):
             ids = b"".join(map(self.words.__getitem__, _SPLIT.findall(text.lower())))
         else:
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = self.encoder.text(text)
         self[chunk] = ids
         return ids
 
 
-@lru_cache(maxsize=2)
-def _chunks(path: str) -> _Chunks:
-    return _Chunks(path)
-
-
-def token_bytes(text: bytes, path: str) -> bytes:
+def token_bytes(text: bytes, chunks: _Chunks) -> bytes:
     """The ids of a whole text and the end id, as little-endian unsigned 32-bit integers."""
-    return b"".join(map(_chunks(path).__getitem__, text.split())) + END_ID.to_bytes(4, "little")
+    return b"".join(map(chunks.__getitem__, text.split())) + END_ID.to_bytes(4, "little")
 
 
 def pieces(docs: DataFrame, path: str, most: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
@@ -92,10 +103,11 @@ def pieces(docs: DataFrame, path: str, most: int = SEQUENCE, with_ids: bool = Fa
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks = _Chunks(path)
         for batch in slices(batches, "text", 4 << 20):
             rows = []
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()):
-                ids = token_bytes(text, path)
+                ids = token_bytes(text, chunks)
                 for k, at in enumerate(range(0, len(ids), 4 * most)):
                     part = ids[at : at + 4 * most]
                     row = (doc, k, at // 4, len(part) // 4, zlib.crc32(part))

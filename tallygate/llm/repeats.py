@@ -37,9 +37,9 @@ from tallygate.llm.common import kept, slices, text_of
 
 LEAST = 400
 #: Contexts of an anchor that one task compares.
-TOGETHER = 1000
+TOGETHER = 200
 #: Bytes whose suffixes a task sorts at once; whole anchors, so at least those of one.
-BUFFER = 512 << 10
+BUFFER = 256 << 10
 #: String starts of a text that are looked at in one piece.
 _PIECE = 1 << 17
 _U = np.uint64
@@ -189,7 +189,7 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, keep: str = "none", toge
     names = [*_KEY, "anchor", "context", "first", "last"]
 
     def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             found = [runs(t, least) for t in batch["text"].cast(pa.binary()).to_pylist()]
             owner = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
             columns = [batch[c].take(owner) for c in _KEY]
@@ -320,7 +320,7 @@ def without_repeats(
     names = ["row", "begins", "ends", "kept"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             texts = batch["text"].cast(pa.binary()).to_pylist()
             merged = [_merged(x) for x in batch["spans"].to_pylist()]
             if characters:

@@ -44,7 +44,7 @@ class _Features(dict):
         self.wanted = wanted
 
     def __missing__(self, token: str) -> tuple[str, ...]:
-        if len(self) > 100_000:
+        if len(self) > 50_000:
             self.clear()
         found = (token, *[f"{token[:n]}-" for n in BEGINNINGS if len(token) > n])
         if self.wanted is not None:
@@ -75,7 +75,7 @@ def _tally(rows: DataFrame, categories: list[str]) -> DataFrame:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Features()
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             marks = [batch[c].to_pylist() for c in categories]
             n, positive = Counter(), [Counter() for _ in categories]
             for text, fold, *ys in zip(batch["text"].to_pylist(), batch["fold"].to_pylist(), *marks):
@@ -167,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, categories: di
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Features(wanted)
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             own = [sorted(features(t, known)) for t in batch["text"].to_pylist()]
             columns = [pa.array(own, pa.list_(pa.string())), batch["fold"], *[batch[c] for c in names]]
             yield pa.RecordBatch.from_arrays(columns, ["own", "fold", *names])
@@ -201,7 +201,7 @@ def score(docs: DataFrame, models: list[Linear], categories: list[str] | None =
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Features({f for m in models for f in m.weights})
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             found = []
             for text in batch["text"].to_pylist():
                 own, chain = features(text, known), []
