@@ -37,7 +37,7 @@ from tallygate.llm.common import kept, slices, text_of
 
 LEAST = 400
 #: Contexts of an anchor that one task compares.
-TOGETHER = 200
+TOGETHER = 1000
 #: Bytes whose suffixes a task sorts at once; whole anchors, so at least those of one.
 BUFFER = 256 << 10
 #: String starts of a text that are looked at in one piece.
