@@ -5,14 +5,17 @@ element or their class, role or id (menus, page headers, footers, sidebars, noti
 forms, scripts, comments) leave no lines. Where a container begins or ends outside an article,
 ``WINDOW`` empty lines stand, so the text length summed over a sliding window of lines falls to
 nothing there. It surges where a container's text begins and dives where it ends; what lies
-between is a region, short lines included. A page's article is its main region; a page that marks
-none keeps the regions that rise to ``SURGE`` characters in a window, or else its longest.
+between is a region, short lines included. A page's article is its main region, whatever its windows;
+without one its ``<main>`` is. A page that marks neither keeps the regions that rise to ``SURGE``
+characters in a window, with all that stands in their container between its first and last text that
+isn't a menu, or else its longest.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,6 +39,8 @@ _TAG = re.compile(
 _NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.I)
 _CONTAINERS = frozenset("article aside body div footer form header main nav section table ul ol dl".split())
+#: Containers that hold a part of a page, not a list or table of it.
+_PARTS = frozenset("aside div footer form header nav section".split())
 _BLOCKS = _CONTAINERS | frozenset(
     "address blockquote caption center dd details dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr "
     "li menu p pre summary tbody tfoot thead tr".split()
@@ -54,16 +59,23 @@ _DROPPED_NAMES = frozenset(
 def _names(attributes: str) -> set[str]:
     found = set()
     for _, *values in _NAMES.findall(attributes):
-        found.update(re.split(r"[\s_-]+", "".join(values).lower()))
+        found.update("".join(values).lower().split())
     return found
 
 
-def lines_of(page: str) -> list[tuple[str, int, int]]:
-    """The lines of a page: text, the number of its article (0: none), and characters in links.
+Line = tuple[str, int, int, int]
 
-    Containers outside articles stand apart by empty lines.
+
+def lines_of(page: str) -> tuple[list[Line], list[list[int]]]:
+    """The lines of a page, and the first line and the line after the last of each container. A line:
+    text, the number of its article (below 0: of its main; 0: neither), characters in links, container.
+
+    Containers outside articles and mains stand apart by empty lines.
     """
-    lines: list[tuple[str, int, int]] = []
+    lines: list[Line] = []
+    spans = [[0, 0]]  # container 0 is the page
+    inside: list[tuple[str, int]] = []  # open containers
+    mains = main = 0  # mains seen, and open ones
     parts: list[str] = []
     article = articles = depth = linked = 0  # depth: of articles; linked: characters in links of this line
     in_link = False
@@ -74,12 +86,12 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            lines.append((text, article, linked))
+            lines.append((text, article or -mains * (main > 0), linked, inside[-1][1] if inside else 0))
         linked = 0
 
     def end_region() -> None:
         end_line()
-        lines.extend([("", article, 0)] * WINDOW)
+        lines.extend([("", article, 0, 0)] * WINDOW)
 
     at = 0
     for m in _TAG.finditer(page):
@@ -114,8 +126,20 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
             if depth == 1 and not close:
                 articles += 1
             article = articles if depth else 0
-        elif name in _CONTAINERS and not depth:
+        elif name == "main" and not depth:
+            end_region() if main <= 1 else end_line()
+            main = max(0, main + (-1 if close else 1))
+            mains += main == 1 and not close
+        elif name in _CONTAINERS and not depth and not main:
             end_region()
+            if name in _PARTS and not close:
+                inside.append((name, len(spans)))
+                spans.append([len(lines), -1])
+            elif close and any(name == x for x, _ in inside):
+                ended = ""
+                while ended != name:
+                    ended, number = inside.pop()
+                    spans[number][1] = len(lines)
         elif name in _BLOCKS:
             end_line()
         elif name in ("br", "td", "th"):
@@ -125,12 +149,12 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
     if not skip:
         parts.append(page[at:])
     end_line()
-    return lines
+    return lines, [[a, len(lines) if b <= 0 else b] for a, b in spans]
 
 
-def regions(lines: list[tuple[str, int, int]]) -> list[tuple[int, int, int]]:
+def regions(lines: list[Line]) -> list[tuple[int, int, int]]:
     """(first line, line after the last, highest window) of each stretch between surge and dive."""
-    sizes = [len(text) for text, _, _ in lines]
+    sizes = [len(line[0]) for line in lines]
     found, begin, peak = [], None, 0
     total = sum(sizes[:WINDOW])
     for k in range(len(sizes)):
@@ -148,26 +172,48 @@ def regions(lines: list[tuple[str, int, int]]) -> list[tuple[int, int, int]]:
 
 def main_text(page: str | None) -> str:
     """The main text of a page: its blocks in page order, one on each line. Null or empty: empty."""
-    lines = lines_of(page or "")
+    lines, spans = lines_of(page or "")
     found = []
     for begin, end, peak in regions(lines):
-        texts = [x for x in lines[begin:end] if x[0]]
-        size = sum(len(t) for t, _, _ in texts)
-        found.append((size, peak, sum(n for _, _, n in texts), texts[0][1], [t for t, _, _ in texts]))
+        begin = next(k for k in range(begin, end) if lines[k][0])  # windows look ahead
+        own = [x for x in lines[begin:end] if x[0]]
+        size = sum(len(x[0]) for x in own)
+        found.append((size, peak, sum(x[2] for x in own), own[0][1], [x[0] for x in own], begin, own[0][3]))
     sizes: dict[int, int] = {}
-    for size, _, _, article, _ in found:
+    for size, _, _, article, *_ in found:
         if article:
             sizes[article] = sizes.get(article, 0) + size
-    if sizes:
-        main = max(sizes, key=lambda a: (sizes[a], -a))
-        kept = [texts for _, _, _, article, texts in found if article == main]
+    marked = [a for a in sizes if a > 0] or list(sizes)
+    if marked:
+        chosen = max(marked, key=lambda a: (sizes[a], -abs(a)))
+        kept = [x[4] for x in found if x[3] == chosen]
     else:
         prose = [x for x in found if x[2] <= MOST_LINKED * x[0]]
         risen = [x for x in prose if x[1] >= SURGE]
-        kept = [x[4] for x in risen or prose[:1] and [max(prose, key=lambda x: x[0])]]
+        kept = _contained(found, prose, risen, spans) or prose[:1] and [max(prose, key=lambda x: x[0])[4]]
     return "\n".join(t for texts in kept for t in texts)
 
 
+def _contained(found: list[tuple], prose: list[tuple], risen: list[tuple], spans: list[list[int]]) -> list[list[str]]:
+    """The texts of the risen regions and of all between the first and the last prose of their containers;
+    of what stands right in the body or the page, of regions that stand there too."""
+    begins, prosaic = [x[5] for x in found], [x[5] for x in prose]
+    whole = {x[6] for x in risen}
+    covered = [0] * (len(found) + 1)
+    for number in whole:
+        first, after = spans[number]
+        held = prosaic[bisect_left(prosaic, first) : bisect_left(prosaic, after)]
+        if number and held:
+            covered[bisect_left(begins, held[0])] += 1
+            covered[bisect_left(begins, held[-1]) + 1] -= 1
+    kept, open_ = [], 0
+    for k, x in enumerate(found):
+        open_ += covered[k]
+        if open_ or x[6] in whole and x[2] <= MOST_LINKED * x[0]:
+            kept.append(x[4])
+    return kept
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page.
 

@@ -95,3 +95,22 @@ def test_every_registered_page_query_reads_its_table(spark):
 
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     assert QUERIES["op7_html_text"](spark, "/root/testdata/sf0.001").count() == pages.count()
+
+
+LONG = "A sentence of some length that goes on. " * 8
+
+
+@pytest.mark.parametrize(
+    "begin, end",
+    [("<main>", "</main>"), ("<div class=content>", "</div>"), ("<section>", "</section>"), ("<div class='page with-sidebar'><div>", "</div></div>"), ("<body>", "</body>")],
+)
+def test_lists_and_closing_lines_of_the_main_text_stay(begin, end):
+    inner = f"<h2>Parts</h2><p>{LONG}</p><ul><li>Bolt 4 mm<li>Nut</ul><table><tr><td>1<td>2</table><p>Short closing.</p>"
+    page = f"<nav><a href=x>{LONG}</a></nav>{begin}{inner}{end}<div>tail</div>"
+    assert html_text.main_text(page) == f"Parts\n{LONG.strip()}\nBolt 4 mm\nNut\n1 2\nShort closing."
+
+
+@pytest.mark.parametrize("begin, end", [("<main>", "</main>"), ("<div>", "</div>")])
+def test_links_inside_the_main_text_stay(begin, end):
+    page = f"<ul><li><a href=x>Menu</a></ul>{begin}<p>{LONG}</p><ul><li><a href=x>Source</a></ul><p>End.</p>{end}<ul><li><a href=y>Next</a></ul>"
+    assert html_text.main_text(page) == f"{LONG.strip()}\nSource\nEnd."
