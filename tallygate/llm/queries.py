@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.llm import chat, decontaminate, html_text, language, licenses, packing, quality, repeats, simhash, toxicity
+from tallygate.llm import chat, decontaminate, html_text, language, licenses, packing, quality, repeats, sentencepieces, simhash, toxicity
 from tallygate.llm.common import LOWER, UPPER, WORD, table, vocabulary
 
 
@@ -90,6 +90,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids and of the decoded text of every document."""
+    found = sentencepieces.encoded(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_licenses": op2_licenses,
@@ -101,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_decontaminate": op10_decontaminate,
+    "op11_sentencepieces": op11_sentencepieces,
 }
 
 _OP1 = rf"""

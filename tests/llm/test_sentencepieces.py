@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+import sentencepiece
+
+from tallygate.llm import sentencepieces
+from tallygate.llm.common import vocabulary
+from tallygate.llm.queries import op11_sentencepieces
+from tests.llm.shapes import documents, odd_rows
+
+MODEL = "piece_bpe_32k.model"
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=vocabulary(MODEL))
+
+
+def test_marked_words_apart_have_the_ids_of_the_whole_text(library):
+    rng = random.Random(3)
+    parts = ["Hello", "it's", " ", "  ", "   ", "\n", "\t", "▁", "▁▁", "É", "ß", "123", "<s>", "</s>", "<unk>", "<0x41>", "中文",
+             "\U0001f600", "\x00", "\xa0", " ", "⁇", "é", "﻿", "ing", "un", " the", "\r\n"]
+    table = sentencepieces.ChunkTable(vocabulary(MODEL), most=500)
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(6000)]
+    for k in range(0, len(texts), 100):
+        some = texts[k : k + 100]
+        ids, ends, decoded = table.encode(some)
+        for n, text in enumerate(some):
+            expected = library.encode(text)
+            assert ids[ends[n] : ends[n + 1]].tolist() == expected, text
+            assert decoded[n] == library.decode(expected), text
+    assert len(table.place) < 5000  # it started anew
+
+
+def test_a_vocabulary_that_crosses_marks():
+    assert sentencepieces.crosses_marks(["▁of▁the"]) and sentencepieces.crosses_marks(["a▁"])
+    assert not sentencepieces.crosses_marks(["▁of", "▁▁", "▁▁a", "a", ""])
+    table = sentencepieces.ChunkTable(vocabulary(MODEL))
+    table.words = sentencepieces.re.compile("(?s:.+)")
+    assert table.split("a b\nc") == ["▁a▁b\nc"]
+
+
+def test_odd_rows(spark, library):
+    found = sentencepieces.encoded(documents(spark, extra=True), vocabulary(MODEL)).collect()
+    expected = []
+    for doc, text in odd_rows():
+        ids = library.encode(text or "")
+        expected.append((doc or 0, ids, library.decode(ids)))
+    assert sorted((r["doc_id"] or 0, r["ids"], r["decoded"]) for r in found) == sorted(expected)
+    assert sentencepieces.encoded(documents(spark, []), vocabulary(MODEL)).count() == 0
+
+
+def test_the_query_against_the_library(spark, library, tmp_path):
+    documents(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    expected = []
+    for doc, text in odd_rows():
+        ids = library.encode(text or "")
+        expected.append((doc or 0, len(ids), digest(",".join(map(str, ids))), digest(library.decode(ids))))
+    found = op11_sentencepieces(spark, str(tmp_path))
+    assert dict(found.dtypes)["n_tokens"] == "bigint"
+    assert sorted((r[0] or 0, *r[1:]) for r in found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()) == sorted(expected)
