@@ -10,18 +10,11 @@ Only distinct fingerprints enter the index; copies follow by their fingerprint.
 longer than ``BLOCK`` is compared block against block in tasks of their own, so no list has to
 fit into one task. Each task emits a spanning forest of the links it has verified, never all
 pairs: groups come out whole and the output grows with the number of fingerprints.
-
-``Wide`` fingerprints are for texts that are alike rather than nearly equal. At a similarity of
-0.8 of five-word shingles about 12 % of the bits differ, which is too many for a guarantee on
-bytes, so 24 bytes are posted under 96 position triples: such a pair meets in one of them with a
-probability of over 0.95, at a similarity of 0.9 of over 0.999.
 """
 
 from __future__ import annotations
 
-import random
 from collections.abc import Iterator
-from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -36,8 +29,6 @@ BITS = 3
 SHINGLE = 3
 SEED = 42
 BYTES = 8
-#: A pair within BITS bits shares at least so many positional bytes.
-LEAST_SHARED = BYTES - BITS
 TRIPLES = [t for half in (range(4), range(4, 8)) for t in combinations(half, 3)]
 #: Fingerprints of a posting list that are compared in one piece.
 BLOCK = 2048
@@ -45,40 +36,14 @@ BLOCK = 2048
 SMALL = 16
 
 
-@dataclass(frozen=True)
-class Scheme:
-    """How many 64-bit words a fingerprint has, under which byte positions it is posted, and what
-    a verified pair has: shared positional bytes at least, differing bits at most."""
-
-    words: int
-    triples: tuple[tuple[int, ...], ...]
-    least_shared: int
-    most_bits: int
-
-
-def _spread(size: int, rounds: int) -> tuple[tuple[int, ...], ...]:
-    """Each round deals all byte positions out to triples, in another order."""
-    dealt = random.Random(size)
-    found = []
-    for _ in range(rounds):
-        order = dealt.sample(range(size), size)
-        found += [tuple(sorted(order[k : k + 3])) for k in range(0, size, 3)]
-    return tuple(found)
-
-
-EXACT = Scheme(1, tuple(TRIPLES), LEAST_SHARED, BITS)
-WIDE = Scheme(3, _spread(24, 12), 3, 30)
-
-
-def fingerprint(text: bytes, shingle: int = SHINGLE, words: int = 1) -> bytes:
-    """The bytes of a text's fingerprint, most significant first.
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> bytes:
+    """The eight bytes of a text's fingerprint, most significant first.
 
     A text of fewer words than a shingle is one shingle; a text without words has fingerprint 0.
-    Further 64-bit words come from the same hashes, mixed.
     """
     split = text.lower().split()  # bytes: only A-Z change, only ASCII white space splits
     if not split:
-        return bytes(BYTES * words)
+        return bytes(BYTES)
     joined = b" ".join(split)
     if len(split) <= shingle:
         digests = xxhash.xxh64_digest(joined, SEED)
@@ -88,50 +53,50 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, words: int = 1) -> bytes:
         begins = (ends - sizes).tolist()
         digest = xxhash.xxh64_digest
         digests = b"".join([digest(joined[a:b], SEED) for a, b in zip(begins, ends[shingle - 1 :].tolist())])
-    hashes = np.frombuffer(digests, ">u8").astype(np.uint64)
-    ones = np.zeros(64 * words, np.int64)
+    hashes = np.frombuffer(digests, np.uint8).reshape(-1, BYTES)
+    ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 4096):
-        part = hashes[at : at + 4096, None] + np.arange(words, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        part[:, 1:] = (part[:, 1:] ^ (part[:, 1:] >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        part[:, 1:] ^= part[:, 1:] >> np.uint64(29)
-        ones += np.unpackbits(part.astype(">u8").view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
+        ones += np.unpackbits(hashes[at : at + 4096], axis=1).sum(axis=0, dtype=np.int64)
     return np.packbits(ones * 2 > len(hashes)).tobytes()
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, words: int = 1) -> DataFrame:
-    """doc_id and the fingerprint of every row, as signed 64-bit integers fp0, fp1 and so on; null text
-    counts as empty."""
-    names = [f"fp{k}" for k in range(words)]
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, the fingerprint of every row as a signed 64-bit integer fp0, and ``copy``, a hash of the text
+    that tells rows of one doc_id apart; null text counts as empty."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 8 << 20):
             texts = batch["text"].cast(pa.binary()).to_pylist()
-            fps = np.frombuffer(b"".join(fingerprint(t, shingle, words) for t in texts), ">i8").astype("<i8")
-            columns = [pa.array(np.ascontiguousarray(c)) for c in fps.reshape(-1, words).T]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], ["doc_id", *names])
+            fps = np.frombuffer(b"".join(fingerprint(t, shingle) for t in texts), ">i8").astype("<i8")
+            columns = [batch["doc_id"], batch["copy"], pa.array(fps)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "copy", "fp0"])
 
-    kinds = ", ".join(f"{n} long" for n in names)
-    rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
-    return rows.mapInArrow(hashed, f"doc_id long, {kinds}")
+    rows = docs.select(F.col("doc_id").cast("long"), _copy().alias("copy"), text_of().alias("text"))
+    return rows.mapInArrow(hashed, "doc_id long, copy long, fp0 long")
 
 
-def links(distinct: DataFrame, scheme: Scheme = EXACT, block: int = BLOCK) -> DataFrame:
+def _copy() -> F.Column:
+    return F.xxhash64(text_of())
+
+
+def links(distinct: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between nodes: a spanning forest of each piece of each posting list, which joins
     exactly the nodes that verified pairs join.
 
-    distinct: node and fp0, fp1 and so on, no fingerprint twice.
+    distinct: node and fp0, no fingerprint twice. bits: differing bits of a link, ``BITS`` at most, as the
+    posting lists guarantee no more.
     """
-    names = [f"fp{k}" for k in range(scheme.words)]
+    if not 0 <= bits <= BITS:
+        raise ValueError(f"posting lists by {len(TRIPLES)} position triples find up to {BITS} differing bits, not {bits}")
 
     def post(number: int, triple: tuple[int, ...]) -> F.Column:
         key = F.lit(number).cast("long")
-        for k in triple:
-            word, at = divmod(k, BYTES)
-            key = key * 256 + F.shiftrightunsigned(f"fp{word}", 56 - 8 * at).bitwiseAND(F.lit(255))
+        for at in triple:
+            key = key * 256 + F.shiftrightunsigned("fp0", 56 - 8 * at).bitwiseAND(F.lit(255))
         return key
 
-    lists = F.explode(F.array(*[post(n, t) for n, t in enumerate(scheme.triples)]))
-    postings = distinct.select("node", *names, lists.alias("list"))
+    lists = F.explode(F.array(*[post(n, t) for n, t in enumerate(TRIPLES)]))
+    postings = distinct.select("node", "fp0", lists.alias("list"))
     sizes = postings.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
@@ -140,11 +105,11 @@ def links(distinct: DataFrame, scheme: Scheme = EXACT, block: int = BLOCK) -> Da
         .withColumn("blocks", blocks)
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("list", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", *names)
+        .select("list", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", "fp0")
     )
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = ["list", "p", "q", "node", *names]
+        columns = ["list", "p", "q", "node", "fp0"]
         held = np.empty((0, len(columns)), np.int64)  # rows of the last piece, which may go on
         for batch in batches:
             rows = np.stack([batch[c].to_numpy().astype(np.int64) for c in columns], axis=1)
@@ -155,14 +120,14 @@ def links(distinct: DataFrame, scheme: Scheme = EXACT, block: int = BLOCK) -> Da
             last = np.flatnonzero((rows[:, :3] != rows[-1:, :3]).any(axis=1))
             whole = last[-1] + 1 if len(last) else 0
             held = rows[whole:]
-            yield _linked(rows[:whole], scheme)
-        yield _linked(held, scheme)
+            yield _linked(rows[:whole], bits)
+        yield _linked(held, bits)
 
     dealt = pieces.repartition("list", "p", "q").sortWithinPartitions("list", "p", "q")
     return dealt.mapInArrow(linked, "a long, b long").distinct()
 
 
-def _linked(rows: np.ndarray, scheme: Scheme) -> pa.RecordBatch:
+def _linked(rows: np.ndarray, bits: int) -> pa.RecordBatch:
     """Verified links within the pieces. rows: the piece's three numbers, node and fingerprint, pieces
     one after another. Pieces of up to ``SMALL`` nodes are compared all at once, row by row with those
     that follow; larger ones give a spanning forest."""
@@ -177,24 +142,24 @@ def _linked(rows: np.ndarray, scheme: Scheme) -> pa.RecordBatch:
     for step in range(1, min(SMALL, sizes.max(initial=0))):
         at = np.flatnonzero(small[:-step] & (piece[:-step] == piece[step:]))
         shared = (columns[at] == columns[at + step]).sum(axis=1)  # the tally of shared positional bytes
-        at = at[shared >= scheme.least_shared]
-        at = at[np.bitwise_count(fps[at] ^ fps[at + step]).sum(axis=1) <= scheme.most_bits]
+        at = at[shared >= BYTES - bits]
+        at = at[np.bitwise_count(fps[at] ^ fps[at + step]).sum(axis=1) <= bits]
         found.append(np.stack([nodes[at], nodes[at + step]], axis=1))
     for k in np.flatnonzero(sizes > SMALL):
         part = slice(begins[k], begins[k] + sizes[k])
-        found.append(_forest(nodes[part], fps[part], columns[part], scheme))
+        found.append(_forest(nodes[part], fps[part], columns[part], bits))
     pairs = np.sort(np.concatenate(found), axis=1)
     a, b = np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
-def _forest(nodes: np.ndarray, fps: np.ndarray, columns: np.ndarray, scheme: Scheme) -> np.ndarray:
+def _forest(nodes: np.ndarray, fps: np.ndarray, columns: np.ndarray, bits: int) -> np.ndarray:
     """Each node of one piece with the first that it reaches there."""
     top = np.arange(len(nodes))
     for at in range(len(nodes) - 1):
         shared = (columns[at:] == columns[at]).sum(axis=1)
-        near = np.flatnonzero(shared >= scheme.least_shared) + at
-        near = near[np.bitwise_count(fps[near] ^ fps[at]).sum(axis=1) <= scheme.most_bits]
+        near = np.flatnonzero(shared >= BYTES - bits) + at
+        near = near[np.bitwise_count(fps[near] ^ fps[at]).sum(axis=1) <= bits]
         met = np.unique(top[near])
         if len(met) > 1:
             top[np.isin(top, met)] = met[0]
@@ -234,33 +199,42 @@ def components(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
-def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, scheme: Scheme = EXACT, block: int = BLOCK
-) -> DataFrame:
-    """doc_id, fp0 (and further words) and component_id of every row.
+def _grouped(docs: DataFrame, shingle: int, bits: int, block: int) -> DataFrame:
+    """The rows of ``fingerprints`` with root, the fingerprint that stands for their group."""
+    prints = kept(fingerprints(docs, shingle))
+    distinct = prints.select(F.col("fp0").alias("node"), "fp0").distinct()
+    groups = components(links(distinct, bits, block)).withColumnRenamed("node", "fp0")
+    return prints.join(groups, "fp0", "left").withColumn("root", F.coalesce("root", "fp0"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, block: int = BLOCK) -> DataFrame:
+    """doc_id, fp0 and component_id of every row.
 
     component_id is the smallest doc_id that links reach, the row's own included. Nulls: a null
     text is empty, and texts without words share fingerprint 0; a row without doc_id gets a component
     like any other, null only if no member has an id. Repeated rows each get their row. Other columns
     are not looked at; an empty table gives an empty result.
     """
-    names = [f"fp{k}" for k in range(scheme.words)]
-    prints = kept(fingerprints(docs, shingle, scheme.words))
-    # equal fingerprints are one node; a 64-bit one is its own number
-    node = F.col("fp0") if scheme.words == 1 else F.xxhash64(*names)
-    least = prints.groupBy(*names).agg(F.min("doc_id").alias("least")).withColumn("node", node)
-    groups = components(links(least.select("node", *names), scheme, block)).withColumnRenamed("node", "member")
-    rooted = least.join(groups, F.col("node") == F.col("member"), "left").select(
-        *names, F.coalesce("root", "node").alias("root"), "least"
-    )
-    tops = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(rooted.join(tops, "root").select(*names, "component_id"), names)
+    rooted = _grouped(docs, shingle, bits, block)
+    tops = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rooted.join(tops, "root").select("doc_id", "fp0", "component_id")
+
 
+def first_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs`` that stand for their group: one of each, with all its columns.
 
-def first_of_each(docs: DataFrame, shingle: int = SHINGLE, scheme: Scheme = WIDE) -> DataFrame:
-    """The rows of ``docs`` that stand for their group: those with its smallest doc_id, repeated
-    rows once. Rows without doc_id can't be named as copies of one another; they all stay."""
-    near = near_duplicates(docs.where("doc_id is not null"), shingle, scheme)
-    stay = near.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.select(docs.columns).union(docs.where("doc_id is null"))
+    That is the row with the group's smallest doc_id; rows without one come after all others, and of
+    different texts with the same doc_id that with the smaller hash stays. Rows that repeat doc_id and
+    text stay once, whatever other columns say. A null text is empty, and all texts without words are
+    one group. An empty table gives none; columns may have any names.
+    """
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "copy").alias("place")
+    first = _grouped(docs, shingle, bits, block).groupBy("root").agg(F.min(place).alias("first"))
+    stay = first.select(F.coalesce("first.doc_id", F.lit(0)).alias("id"), F.col("first.doc_id").isNull().alias("unnamed"), "first.copy")
+    key = ["id", "unnamed", "copy"]
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(doc_id, F.lit(0)).alias("id"), doc_id.isNull().alias("unnamed"), _copy().alias("copy"),
+    )
+    return rows.join(stay, key, "left_semi").dropDuplicates(key).select("row.*")

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tallygate.llm import simhash
 from tests.llm.shapes import documents, odd_rows, prose
@@ -77,6 +78,21 @@ def test_the_first_of_each_group_stays(spark):
     near = list(base)
     near[100] = "changed"
     rows = [(5, " ".join(base)), (6, " ".join(base)), (7, " ".join(near)), (8, prose(12, 300)), (8, prose(12, 300)), (None, prose(13, 9))]
-    stay = simhash.first_of_each(documents(spark, rows, extra=True))
-    assert sorted((r["doc_id"] for r in stay.collect()), key=lambda x: x or 0) == [None, 5, 8]
-    assert stay.columns == documents(spark, rows, extra=True).columns
+    rows += [(5, prose(14, 90)), (9, prose(14, 90)), (None, " ".join(base)), (None, prose(15, 50)), (None, prose(15, 50)), (20, None), (21, "")]
+    given = documents(spark, rows, extra=True).withColumn("my col", F.lit(1))
+    stay = simhash.first_of_each(given)
+    assert stay.columns == given.columns
+    groups = plain_groups([plain_fingerprint(t) for _, t in rows], 3)
+    least = {}
+    for (doc, text), g in zip(rows, groups):
+        place = (doc is None, doc or 0)
+        least[g] = min(least.get(g, (True, 1 << 60)), place)
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in stay.collect()) == sorted(least.values())
+    texts = {r["text"] for r in stay.where("doc_id = 5").collect()}
+    assert texts == {" ".join(base), prose(14, 90)}  # both stand for a group
+    assert simhash.first_of_each(documents(spark, [])).count() == 0
+
+
+def test_more_bits_than_the_lists_guarantee(spark):
+    with pytest.raises(ValueError, match="up to 3"):
+        simhash.near_duplicates(documents(spark), bits=4)
