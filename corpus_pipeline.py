@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.llm import decontaminate, packing, repeats, shingles, toxicity
+from tallygate.llm import decontaminate, packing, repeats, simhash, toxicity
 from tallygate.llm.common import bounded_batches, scratch, table, vocabulary
 
 #: Bytes of a repeated passage; fifty words of the shortest kind are longer.
@@ -24,10 +24,10 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share 0.8 of their five-word shingles, linked or in a chain, that with the
-    smallest doc_id stays."""
+    """Of documents whose fingerprints of three-word shingles differ in at most three bits, linked or in
+    a chain, that with the smallest doc_id stays."""
     bounded_batches(spark)
-    return shingles.first_of_each(docs)
+    return simhash.first_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
