@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.llm import chat, decontaminate, html_text, language, licenses, packing, quality, repeats, sentencepieces, simhash, toxicity
+from tallygate.llm import chat, decontaminate, html_text, language, licenses, negatives, packing, quality, repeats, sentencepieces, simhash, toxicity
 from tallygate.llm.common import LOWER, UPPER, WORD, table, vocabulary
 
 
@@ -101,6 +101,13 @@ def op11_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, after some labels were changed."""
+    given = table(spark, sf_dir, "embeddings")
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(negatives.prepared(given, changed), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_licenses": op2_licenses,
@@ -113,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_decontaminate": op10_decontaminate,
     "op11_sentencepieces": op11_sentencepieces,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 _OP1 = rf"""
@@ -157,8 +165,32 @@ _OP10 = rf"""
     from d left join words using (doc_id) left join items using (doc_id)
 """
 
+_OP12 = """
+    with rows as (
+        select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end::bigint as label,
+            list_transform(embedding, lambda x: floor(256 * x::double)) as v
+        from embeddings
+        where vec_id is not null and label is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    anchors as (select row_number() over () as a, * from rows where vec_id % 100 = 0),
+    pairs as (
+        select a, anchors.vec_id as anchor_id, rows.vec_id, rows.label = anchors.label as same,
+            list_inner_product(anchors.v, rows.v)::bigint as score
+        from anchors, rows where rows.label <> anchors.label or rows.vec_id <> anchors.vec_id),
+    positives as (
+        select *, row_number() over (partition by a order by score desc, vec_id) as p
+        from pairs where same qualify p <= 5)
+    select p.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id, p.score as positive_score,
+        n.score as negative_score,
+        row_number() over (partition by p.a, p.p order by n.score desc, n.vec_id)::int as rank
+    from positives p join pairs n
+        on n.a = p.a and not n.same and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score
+    qualify rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": _OP1,
     "op2_licenses": licenses.oracle_sql(),
     "op10_decontaminate": _OP10,
+    "op12_hard_negatives": _OP12,
 }
