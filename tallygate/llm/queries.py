@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygate.llm import chat, decontaminate, html_text, language, licenses, negatives, packing, quality, repeats, sentencepieces, simhash, toxicity
+from tallygate.llm import chat, decontaminate, html_text, language, licenses, negatives, packing, quality, repeats, sentencepieces, simhash, toxicity, turns
 from tallygate.llm.common import LOWER, UPPER, WORD, table, vocabulary
 
 
@@ -108,6 +108,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(negatives.prepared(given, changed), F.col("vec_id") % 100 == 0)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest edits of every conversation after damage."""
+    return turns.repaired(turns.damaged(table(spark, sf_dir, "conversations")), with_turns=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_licenses": op2_licenses,
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
     "op11_sentencepieces": op11_sentencepieces,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 _OP1 = rf"""

@@ -1,0 +1,177 @@
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+from functools import lru_cache
+
+import pytest
+
+from tallygate.llm import turns
+from tallygate.llm.queries import op13_conversation_repair
+
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def plain(rows):
+    """The contract, conversation by conversation, with all cheapest edits by recursion."""
+    convs = {}
+    for conv, turn, role, text in rows:
+        own = convs.setdefault(conv, [])
+        spell = lambda x: " " if x is None else str(x)
+        case = zlib.crc32(f"{spell(conv)}:{spell(turn)}".encode()) % 20
+        role, text = spell(role), spell(text)
+        if case == 0:
+            continue
+        text = "" if case == 1 else re.sub("[.!?]", "", text) if case == 2 else text
+        own += [(turn, "user" if case == 4 else role, text)] * (2 if case == 3 else 1)
+    found = []
+    for conv, own in convs.items():
+        digest = lambda r: hashlib.sha256(f"{len(r[1])}:{r[1]}{r[2]}".encode()).hexdigest()
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], digest(r)))
+        found.append((conv, *plain_repair(own)))
+    return found
+
+
+def plain_repair(own):
+    known = [t for t, _, _ in own if t is not None]
+    gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+    faults, seen = [], set()
+    for _, role, text in own:
+        bare = text.rstrip(SPACES)
+        faults.append("b" if not bare else "d" if (role, text) in seen else "t" if bare[-1] not in ".!?" else "")
+        seen.add((role, text))
+    initials = [role[:1] for _, role, _ in own]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+
+    def step(state, initial):
+        return {"s": {"": "s"}, "u": {"": "u", "s": "u", "a": "u"}, "a": {"u": "a"}}.get(initial, {}).get(state)
+
+    @lru_cache(None)
+    def best(i, state, inserted):
+        """(cost, audit, lines) from row i on."""
+        options = []
+        if i == len(own) and state in ("", "a"):
+            options.append((0, "", ()))
+        if inserted < 2:
+            role = "assistant" if state == "u" else "user"
+            cost, audit, lines = best(i, role[0], inserted + 1)
+            options.append((cost + 5, "I" + audit, (role + ":", *lines)))
+        if i < len(own):
+            _, role, text = own[i]
+            cost, audit, lines = best(i + 1, state, 0)
+            options.append((cost + 2, "D" + audit, lines))
+            if faults[i] in ("", "t"):
+                more = 5 if faults[i] else 0
+                if role and step(state, role[0]):
+                    cost, audit, lines = best(i + 1, step(state, role[0]), 0)
+                    options.append((cost + more, "K" + audit, (f"{role}:{text}", *lines)))
+                for new in ("user", "assistant"):
+                    if step(state, new[0]):
+                        cost, audit, lines = best(i + 1, new[0], 0)
+                        options.append((cost + more + 1, "R" + audit, (f"{new}:{text}", *lines)))
+        return min(options) if options else (1 << 40, "", ())
+
+    for i in range(len(own), -1, -1):  # so that no call goes deep
+        for state in ("", "s", "u", "a"):
+            best(i, state, 0)
+    cost, audit, lines = best(0, "", 0)
+    digest = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    return gaps, *(faults.count(f) for f in "bdt"), illegal, cost, audit, digest
+
+
+def some_rows(seed, convs, most):
+    rng = random.Random(seed)
+    texts = ["Yes.", "No", " ok! ", "", "\t", "what?", "go on \n", "Well. Then", "\xa0", "é?", None]
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", "", "u", None]
+    rows = []
+    for conv in range(convs):
+        for turn in range(rng.randint(1, most)):
+            role = ("user", "assistant")[turn % 2] if rng.random() < 0.6 else rng.choice(roles)
+            turn = rng.choice([turn, turn, turn, turn + 3, None])
+            text = f"Said {conv} {rng.randrange(4 * most)}." if rng.random() < 0.7 else rng.choice(texts)
+            rows.append((conv - 3 if conv else None, turn, role, text))
+    return rows
+
+
+def frame_of(spark, rows):
+    extra = [(*r, "x", 1) for r in rows]
+    return spark.createDataFrame(extra, "conv_id long, turn long, role string, text string, part string, `my col` int")
+
+
+def key(row):
+    return row[0] is not None, row[0] or 0
+
+
+def test_the_lattice_against_all_paths():
+    """Short rows of every kind: cost, and least of the cheapest, by trying all edits."""
+    rng = random.Random(1)
+    names = {"s": "system", "u": "user", "a": "assistant", "-": "tool"}
+    for n in range(0, 6):
+        for _ in range(150):
+            kinds = bytes(rng.randrange(4) * 4 + rng.choice([0, 0, 0, 1, 2, 3]) for _ in range(n))
+            ((cost, state, audit),) = turns.Lattice(kinds, turns._END).solved(range(1))
+            audit += turns._TAIL[state]
+            said, seen = [], []
+            for k, kind in enumerate(kinds):  # texts with these faults
+                role = names["sua-"[kind >> 2]]
+                said.append((k, role, {0: f"{k}.", 1: " ", 3: f"{k}"}.get(kind & 3)))
+                seen.append(kind)
+            if any(t is None for _, _, t in said):
+                continue
+            *_, wanted_cost, wanted, _ = plain_repair(said) if len({(r, t) for _, r, t in said if t != " "}) == sum(t != " " for _, _, t in said) else (None, cost, audit, None)
+            assert (cost, audit) == (wanted_cost, wanted), (kinds, said)
+
+
+def test_costs_through_a_part_join_to_the_whole():
+    rng = random.Random(8)
+    for _ in range(60):
+        kinds = bytes(rng.randrange(4) * 4 + rng.randrange(4) for _ in range(rng.randint(2, 40)))
+        (whole,) = turns.Lattice(kinds, turns._END).solved(range(1))
+        at = rng.randint(0, len(kinds))
+        costs = turns.through(kinds[at:])
+        behind = tuple(min(costs[4 * e + f] + turns._END[f] for f in range(4)) for e in range(4))
+        (first,) = turns.Lattice(kinds[:at], behind).solved(range(1))
+        second = turns.Lattice(kinds[at:], turns._END).solved(range(4))[first[1]]
+        assert first[0] == whole[0] and first[2] + second[2] == whole[2] and second[1] == whole[1]
+
+
+NAMES = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+
+
+def test_the_query_against_plain_python(spark, tmp_path):
+    rows = some_rows(3, 300, 9)
+    frame_of(spark, rows).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = op13_conversation_repair(spark, str(tmp_path))
+    got = [tuple(r) for r in found.select(NAMES).collect()]
+    assert sorted(got, key=key) == sorted(plain(rows), key=key)
+    assert {t for n, t in found.dtypes if n not in ("audit", "repaired_sha256")} == {"bigint"}
+
+
+@pytest.mark.parametrize("part", [turns.PART, 3])
+def test_long_conversations_in_many_parts(spark, part):
+    rows = [(5, t, r, x) for _, t, r, x in some_rows(4, 1, 700)] + some_rows(6, 4, 5)
+    rng = random.Random(4)
+    rows += [(5, k // 2, rng.choice(["user", "user", "assistant", "tool"]), f"{k % 400}.") for k in range(900)]
+    found = turns.repaired(turns.damaged(frame_of(spark, rows)), part=part)
+    got = sorted((tuple(r) for r in found.collect()), key=key)
+    assert [r[:9] for r in got] == sorted(plain(rows), key=key)
+    for row in got:
+        assert hashlib.sha256("\n".join(row[9]).encode()).hexdigest() == row[8]
+
+
+def test_empty_tables(spark):
+    assert turns.repaired(turns.damaged(frame_of(spark, []))).count() == 0
+
+
+def test_legal_role_patterns_only(spark):
+    """Whatever the rows, the repaired turns follow the pattern."""
+    for roles in itertools.product("sua-", repeat=4):
+        kinds = bytes(4 * "sua-".index(r) for r in roles)
+        ((_, state, audit),) = turns.Lattice(kinds, turns._END).solved(range(1))
+        names = {"s": "system", "u": "user", "a": "assistant", "-": "tool"}
+        lines = turns.rendered([names[r] for r in roles], ["x"] * 4, kinds, 0, audit)
+        lines += turns.rendered([], [], b"", state, turns._TAIL[state])
+        assert re.fullmatch("(s?(ua)+)?", "".join(line[0] for line in lines))
