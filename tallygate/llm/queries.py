@@ -194,9 +194,97 @@ _OP12 = """
     qualify rank <= 10
 """
 
+def _grown(state: str, letter: str, cost: str, line: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'l': {state}.l || {line}}}"
+
+
+def _least(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+_NEW_USER, _NEW_ASSISTANT = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+_FAR = "{'c': 1000000000::bigint, 'a': '', 'l': ''}"
+_MORE = "case when fault = 't' then 5 else 0 end"
+_STAY = "case when fault in ('b', 'd') then 1000000000 else 0 end"
+
+
+def _kept_if(state: str, initial: str) -> str:
+    cost = f"{_MORE} + {_STAY} + case when role[1] = '{initial}' then 0 else 1000000000 end"
+    return _grown(state, "K", cost, "chr(10) || role || ':' || text")
+
+
+def _retyped(state: str, new: str) -> str:
+    return _grown(state, "R", f"1 + {_MORE} + {_STAY}", f"{new} || text")
+
+
+def _deleted(state: str) -> str:
+    return _grown(state, "D", "2", "''")
+
+
+#: The lattice row by row: w0 to w3 are the least (cost, initials, turns) in each state, i2 and i3 the
+#: same after insertions. CRC-32 is worked out bit by bit.
+_OP13 = rf"""
+    with recursive given as (
+        select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+            coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as spelled
+        from conversations),
+    dealt as (
+        select *, xor(4294967295, list_reduce(
+            list_concat([4294967295::bigint], flatten(list_transform(str_split(spelled, ''),
+                lambda ch: [ascii(ch)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda c, x: case when x >= 0 then xor(c, x) else xor(c >> 1, 3988292384 * (c & 1)) end)) % 20 as kind
+        from given),
+    damaged as (
+        select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+            case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+            unnest(case when kind = 3 then [0, 1] else [0] end) as copy
+        from dealt where kind <> 0),
+    bared as (
+        select *, regexp_replace(text, '[ 	-
+]+$', '') as bare,
+            row_number() over (partition by conv_id order by turn nulls first, role,
+                sha256(length(role)::varchar || ':' || role || text), copy) as spot
+        from damaged),
+    rows as (
+        select *, case when bare = '' then 'b'
+            when row_number() over (partition by conv_id, role, text order by spot) > 1 then 'd'
+            when right(bare, 1) not in ('.', '!', '?') then 't' else '' end as fault,
+            lag(role[1]) over (partition by conv_id order by spot) || role[1] as pair
+        from bared),
+    summed as (
+        select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+            count(*) filter (fault = 'b') as blank, count(*) filter (fault = 'd') as duplicate,
+            count(*) filter (fault = 't') as truncated, count(*) filter (pair not in ('su', 'ua', 'au')) as illegal,
+            max(spot) as n
+        from rows group by conv_id),
+    walk as (
+        select conv_id, 0::bigint as spot, {{'c': 0::bigint, 'a': '', 'l': ''}} as w0, {_FAR} as w1, {_FAR} as w2, {_FAR} as w3
+        from summed
+        union all
+        select conv_id, spot + 1, {_deleted("w0")},
+            {_least(_deleted("w1"), _kept_if("w0", "s"))},
+            {_least(_deleted("i2"), *[f(x, y) for x in ("w0", "w1", "i3") for f, y in ((_kept_if, "u"), (_retyped, _NEW_USER))])},
+            {_least(_deleted("i3"), _kept_if("i2", "a"), _retyped("i2", _NEW_ASSISTANT))}
+        from (
+            select *, {_least("w3", _grown("i2", "I", "5", _NEW_ASSISTANT))} as i3
+            from (select *, {_least("w2", *[_grown(x, "I", "5", _NEW_USER) for x in ("w0", "w1", "w3")])} as i2 from walk)) w
+        join (select conv_id as of_conv, spot as of_at, role, text, fault from rows) r
+            on of_conv is not distinct from conv_id and of_at = spot + 1),
+    ended as (
+        select s.*, {_least("w0", _grown(_grown("w1", "I", "5", _NEW_USER), "I", "5", _NEW_ASSISTANT), _grown("w2", "I", "5", _NEW_ASSISTANT), "w3")} as best
+        from walk join summed s on s.conv_id is not distinct from walk.conv_id and s.n = walk.spot)
+    select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank,
+        coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+        coalesce(illegal, 0)::bigint as illegal, coalesce(best.c, 0)::bigint as cost, coalesce(best.a, '') as audit,
+        sha256(coalesce(substr(best.l, 2), '')) as repaired_sha256
+    from (select distinct conv_id from conversations) c
+    left join ended on ended.conv_id is not distinct from c.conv_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": _OP1,
     "op2_licenses": licenses.oracle_sql(),
     "op10_decontaminate": _OP10,
     "op12_hard_negatives": _OP12,
+    "op13_conversation_repair": _OP13,
 }
