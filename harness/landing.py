@@ -72,8 +72,13 @@ OPENINGS = [
 ]
 
 
+#: The number of the file that has no line at all.
+EMPTY_FILE = 1000
+
+
 def write_headed_files(versions: DataFrame, path: str) -> str:
-    """The snapshot's lines in a file for each line number, each opened in one of five ways."""
+    """The snapshot's lines in a file for each line number, each opened in one of five ways, and
+    an empty file."""
     number = F.coalesce(F.col("line_id").try_cast("int"), F.lit(0))
     data = versions.select(number.alias("file"), F.lit(len(SOURCE_COLUMNS)).alias("at"), damaged_line().alias("value"))
     files_there = data.select("file").distinct()
@@ -81,6 +86,7 @@ def write_headed_files(versions: DataFrame, path: str) -> str:
     opened = files_there.select("file", F.posexplode(F.get(openings, F.col("file") % len(OPENINGS))).alias("at", "value"))
     lines = opened.unionByName(data).repartition("file").sortWithinPartitions("file", "at")
     lines.select("value", "file").write.partitionBy("file").text(path)
+    files.touch(versions.sparkSession, f"{path}/file={EMPTY_FILE}/part-0.txt")
     return path
 
 

@@ -242,7 +242,8 @@ def sql() -> dict[str, str]:
         "header_contract": (
             "SELECT file, file % 5 NOT IN (1, 3) AS sound, "
             "CASE WHEN file % 5 NOT IN (1, 3) THEN count(*) END AS data_rows "
-            "FROM (SELECT coalesce(TRY_CAST(line_id AS INTEGER), 0) AS file FROM versions) GROUP BY file"
+            "FROM (SELECT coalesce(TRY_CAST(line_id AS INTEGER), 0) AS file FROM versions) GROUP BY file "
+            "UNION ALL SELECT 1000, FALSE, NULL"
         ),
         "resumed_run": (
             "SELECT CAST(attempt AS INTEGER) AS attempt, gold_rows, net_revenue, attempt = 0 AS loaded, "

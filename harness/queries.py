@@ -63,8 +63,11 @@ from tallygate.sources.snapshot_csv import (
     HeaderError,
     SnapshotFiles,
     check_headers,
+    is_data,
+    parse_lines,
     read_snapshot,
     snapshot_lines,
+    sound_files,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -331,19 +334,16 @@ def header_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which files break the header contract, and the rows of those that keep it."""
     root = shared_folder(spark, sf_dir, "header_contract")
     raw = write_headed_files(order_line_versions(spark, sf_dir), f"{root}/raw")
-    report = f"{root}/bad"
-    try:
-        check_headers(snapshot_lines(spark, raw), SnapshotFiles(spark, raw), report)
-    except HeaderError:
-        pass
     number = F.regexp_extract(SOURCE_FILE, "file=([0-9]+)", 1).cast("int").alias("file")
-    bad = spark.read.schema(f"{SOURCE_FILE} string").json(report).select(number)
-    numbers = {row[0] for row in bad.collect()}  # at most one for each of a few line numbers
-    places = [row[0] for row in SnapshotFiles(spark, raw).frame().collect()]
-    good = [p for p in places if not any(f"file={n}/" in p for n in numbers)]
-    sound = read_snapshot(spark, good).groupBy(number).agg(F.count(F.lit(1)).alias("data_rows"))
-    refused = bad.withColumn("data_rows", F.lit(None).cast("long"))
-    return sound.unionByName(refused).withColumn("sound", F.col("data_rows").isNotNull())
+    lines, refused = snapshot_lines(spark, raw), None
+    try:
+        check_headers(lines, SnapshotFiles(spark, raw), f"{root}/bad")
+    except HeaderError as error:
+        refused = error.unsound.select(number, F.lit(None).cast("long").alias("data_rows"))
+    kept = lines.join(sound_files(lines), SOURCE_FILE, "left_semi")
+    sound = parse_lines(kept.filter(is_data())).groupBy(number).agg(F.count(F.lit(1)).alias("data_rows"))
+    every = sound if refused is None else sound.unionByName(refused)
+    return every.withColumn("sound", F.col("data_rows").isNotNull())
 
 
 def resumed_run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,6 +40,31 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(target))
 
 
+def modified(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names of what stands directly below a path, with the store's time of each in milliseconds."""
+    target, system = _path(spark, path)
+    if not system.exists(target):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() for s in system.listStatus(target)}
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file under a new name."""
+    target, system = _path(spark, path)
+    system.create(target, False).close()
+
+
+def read_record(spark: SparkSession, path: str) -> dict[str, Any]:
+    """A small JSON record, read by the driver."""
+    target, system = _path(spark, path)
+    stream = system.open(target)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a directory this engine wrote; nothing happens if it is not there."""
     target, system = _path(spark, path)
@@ -58,7 +83,7 @@ def write_once(spark: SparkSession, path: str, record: dict[str, Any]) -> None:
     draft, _ = _path(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}.draft")
     stream = system.create(draft, False)
     try:
-        stream.write(bytearray((json.dumps(record, indent=2) + "\n").encode()))
+        stream.write(bytearray((json.dumps(record) + "\n").encode()))
     finally:
         stream.close()
     jvm = spark._jvm

@@ -29,28 +29,50 @@ KIND = "line_kind"
 PLACE = "line_place"
 DATA, HEADER, BLANK = "data", "header", "blank"
 
-#: Files that an error message names; the rest are counted, and listed where asked for.
+#: Files that an error message names; the error holds all of them as a DataFrame.
 _FILES_NAMED = 5
 
 
 class HeaderError(ValueError):
-    """A file of the snapshot does not begin with the header of the contract."""
+    """A file of the snapshot does not begin with the header of the contract.
+
+    ``unsound`` has the names of all such files, or None where only a text is known.
+    """
+
+    def __init__(self, message: str, unsound: DataFrame | None = None):
+        super().__init__(message)
+        self.unsound = unsound
+
+
+def files_with_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Name and length of the files that are not empty: a scan that opens none of them."""
+    listed = spark.read.format("binaryFile").load(path)
+    return listed.select(F.input_file_name().alias(SOURCE_FILE), "length")
 
 
 class SnapshotFiles:
-    """The files of a snapshot, empty ones included, as Spark has listed them.
+    """The files of a snapshot, empty ones included.
 
-    Their names stay in Spark's own listing; they are handed out only to name bad files.
+    How many there are is known from the listing that Spark plans its scans by. Names come from
+    scans; no scan ever emits an empty file, so where one is missing that listing is handed back to
+    Spark as a literal. Python sees no list of names either way.
     """
 
     def __init__(self, spark: SparkSession, path: str | Sequence[str]):
-        self._spark, self._listed = spark, spark.read.text(path)._jdf.inputFiles()
+        self._spark, self._path = spark, path
+        self._listing = spark.read.text(path)._jdf.inputFiles()  # stays in the JVM
 
     def __len__(self) -> int:
-        return len(self._listed)
+        return len(self._listing)
 
     def frame(self) -> DataFrame:
-        return self._spark.createDataFrame([(name,) for name in self._listed], f"{SOURCE_FILE} string")
+        """Name and length of every file."""
+        filled = files_with_lines(self._spark, self._path)
+        if filled.count() == len(self):
+            return filled
+        every = self._spark.range(1).select(F.explode(F.lit(self._listing)).alias(SOURCE_FILE))
+        empty = every.join(filled, SOURCE_FILE, "left_anti").withColumn("length", F.lit(0).cast("long"))
+        return filled.unionByName(empty)
 
 
 def snapshot_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -74,30 +96,39 @@ def is_data() -> Column:
     return F.col(KIND) == DATA
 
 
-def check_headers(lines: DataFrame, files: SnapshotFiles, report: str | None = None) -> None:
-    """Fail unless each of the files has lines and its first one is the header.
-
-    The error names a few files and how many there are; ``report`` gets all of them.
-    """
+def sound_files(lines: DataFrame) -> DataFrame:
+    """Names of the files whose first line is the header; one row for each."""
     # Minima of numbers aggregate by hashing; the first kind itself would need a sort.
     header = F.when(F.col(KIND) == HEADER, F.col(PLACE))
-    opened = (
+    return (
         lines.filter(F.col(PLACE).isNotNull())
         .groupBy(SOURCE_FILE)
         .agg(F.min(PLACE).alias("first_line"), F.min(header).alias("first_header"))
         .filter("first_line = first_header")
+        .select(SOURCE_FILE)
     )
+
+
+def check_headers(lines: DataFrame, files: SnapshotFiles, report: str | None = None) -> None:
+    """Fail unless each of the files has lines and its first one is the header.
+
+    The error names a few files, says how many there are, and holds all as a DataFrame; ``report``
+    gets them as JSON lines.
+    """
+    opened = sound_files(lines)
     number = len(files) - opened.count()
     if number == 0:
         return
     unsound = files.frame().join(opened, SOURCE_FILE, "left_anti")
     if report is not None:
         unsound.write.mode("overwrite").json(report)
+        unsound = unsound.sparkSession.read.schema(unsound.schema).json(report)
     named = [row[0] for row in unsound.orderBy(SOURCE_FILE).take(_FILES_NAMED)]
     more = f" and {number - len(named)} more" if number > len(named) else ""
     listed = f", all listed in {report}" if report is not None else ""
     raise HeaderError(
-        f"CSV header does not match required column order{listed} in {', '.join(named)}{more}"
+        f"CSV header does not match required column order{listed} in {', '.join(named)}{more}",
+        unsound,
     )
 
 
