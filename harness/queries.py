@@ -36,7 +36,9 @@ from tallygate.operators.versions import (
     superseded_lines,
 )
 from tallygate.plans.lake import run_sql
+from tallygate.plans.lease import LeaseLostError
 from tallygate.plans.promote import (
+    begin_load,
     current_mart,
     load_audit,
     mart_after_load,
@@ -47,7 +49,9 @@ from tallygate.plans.promote import (
 )
 from tallygate.plans.publish import publish_snapshot
 from tallygate.session import use_contract_time
+from tallygate.sources import files
 from tallygate.sources.runs import (
+    MANIFEST,
     data_files,
     published_runs,
     read_daily_sales,
@@ -215,21 +219,34 @@ def published_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def manifest_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = published(spark, sf_dir)
-    return plain(read_listed_daily_sales(spark, read_manifest(spark, place.root, RUN_ID)))
+    entries = read_manifest(spark, place.root, RUN_ID)
+    return plain(read_listed_daily_sales(spark, place.root, RUN_ID, entries))
 
 
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What holds of a run's manifest: its order, its lengths, and the rows that it lists."""
+    """What holds of a run's manifest: its order, its files, and the rows that it lists."""
     place = published(spark, sf_dir)
-    listed = read_manifest(spark, place.root, RUN_ID)  # refuses lengths that have changed
-    there = data_files(spark, RunLayout(place.root, RUN_ID).daily_sales)
-    held = read_listed_daily_sales(spark, listed).agg(
+    entries = read_manifest(spark, place.root, RUN_ID)  # refuses lengths that have changed
+    layout = RunLayout(place.root, RUN_ID)
+    there = data_files(spark, layout.daily_sales).withColumnRenamed("path", "url")
+    missing = there.join(entries, "url", "left_anti").agg((F.count(F.lit(1)) == 0).alias("none"))
+    # parts follow one another by name, lines by their place in a part
+    named = spark.read.schema(MANIFEST).json(layout.load_manifest).select("url", F.col("_metadata.file_name").alias("part"))
+    parts = named.withColumn("at", F.monotonically_increasing_id()).groupBy("part").agg(
+        F.array_sort(F.collect_list(F.struct("at", "url"))).alias("lines"), F.min("url").alias("least"), F.max("url").alias("most")
+    )
+    own = F.transform("lines", lambda line: line["url"])
+    before = F.lag("most").over(Window.orderBy("part"))
+    apart = F.coalesce(before < F.col("least"), F.lit(True))
+    ordered = parts.select(((F.array_sort(F.array_distinct(own)) == own) & apart).alias("ok")).agg(F.every("ok").alias("all"))
+    held = read_listed_daily_sales(spark, place.root, RUN_ID, entries).agg(
         F.count(F.lit(1)).alias("gold_rows"),
         F.coalesce(F.sum("net_amount"), F.lit(0)).cast("decimal(28,2)").alias("net_revenue"),
     )
+    listed = entries.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n"))
     return held.select(
-        F.lit(listed == sorted(set(listed))).alias("sorted_and_unique"),
-        F.lit(listed == [row.path for row in there.collect()]).alias("lists_all_files"),
+        F.coalesce(ordered.scalar(), F.lit(True)).alias("sorted_and_unique"),
+        (missing.scalar() & (listed.scalar() == F.col("gold_rows"))).alias("lists_all_files"),
         "gold_rows",
         "net_revenue",
     )
@@ -359,15 +376,50 @@ def resumed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loads and revenue as the catalog shows them."""
-    place = promoted(spark, sf_dir)
-    database = f"mart_{uuid.uuid5(uuid.NAMESPACE_URL, place.mart).hex}"
-    show_mart(spark, database, place.mart)
-    runs_shown = spark.table(f"{database}.pipeline_runs").agg(F.max("row_count").alias("loaded_rows"))
-    return spark.table(f"{database}.daily_sales").agg(
+    """A mart that is shown in the catalog before its first load, and follows two loads by itself."""
+    place, mart = promoted(spark, sf_dir), shared_folder(spark, sf_dir, "catalog_mart")
+    database = f"mart_{uuid.uuid5(uuid.NAMESPACE_URL, mart).hex}"
+    show_mart(spark, database, mart)
+    view = f"{database}.daily_sales"
+    before = spark.table(view).count()
+    promote_run(spark, place.root, mart, RUN_ID)
+    promote_run(spark, place.root, mart, RUN_ID)
+    shown = spark.table(f"{database}.pipeline_runs").agg(F.max("row_count").alias("loaded_rows"))
+    checks = spark.table(f"{database}.daily_sales_checks")
+    refused = checks.select((F.col("null_rows") + F.col("long_texts") + F.col("bad_counts") + F.col("unbalanced")).alias("refused"))
+    return spark.table(view).agg(
         F.count(F.lit(1)).alias("gold_rows"),
         F.coalesce(F.sum("net_amount"), F.lit(0)).cast("decimal(28,2)").alias("net_revenue"),
-    ).withColumn("loaded_rows", runs_shown.scalar())
+    ).select(
+        "*", shown.scalar().alias("loaded_rows"), F.lit(before).cast("long").alias("rows_before"),
+        refused.scalar().alias("refused_rows"),
+    )
+
+
+def raced_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two interleaved loads: the first loses its lease to the second, tries to commit, and then commits
+    without looking, as a writer that was held up would; readers don't follow it."""
+    place, mart = published(spark, sf_dir), shared_folder(spark, sf_dir, "raced_loads")
+    first = begin_load(spark, place.root, mart, RUN_ID, seconds=0)
+    second = begin_load(spark, place.root, mart, RUN_ID)
+    steps = [("second", second.commit()["loaded"])]
+    try:
+        first.commit()
+        steps.append(("first", True))
+    except LeaseLostError:
+        steps.append(("first", False))
+    files.write_once(spark, first.path, {**first.record(0), "row_count": -1})
+    steps.append(("replay", promote_run(spark, place.root, mart, RUN_ID)["loaded"]))
+    loads = load_audit(spark, mart).agg(F.count(F.lit(1)).alias("loads"))
+    audited = load_audit(spark, mart).agg(F.sum("row_count").alias("audited_rows"))
+    held = current_mart(spark, mart).agg(
+        F.count(F.lit(1)).alias("mart_rows"),
+        F.coalesce(F.sum("net_amount"), F.lit(0)).cast("decimal(28,2)").alias("net_revenue"),
+    )
+    committed = F.explode(F.create_map(*[F.lit(x) for step in steps for x in step])).alias("attempt", "committed")
+    return held.select(
+        committed, "mart_rows", "net_revenue", loads.scalar().alias("loads"), audited.scalar().alias("audited_rows")
+    )
 
 
 def _report(report: Callable[[DataFrame], DataFrame]) -> Query:
@@ -482,6 +534,7 @@ QUERIES: dict[str, Query] = {
     "header_contract": header_contract,
     "resumed_run": resumed_run,
     "catalog_mart": catalog_mart,
+    "raced_loads": raced_loads,
     "manifest_load": manifest_load,
     "lake_order_lines": lake_order_lines,
     "lake_daily_sales": lake_daily_sales,

@@ -53,7 +53,7 @@ from tallygate.operators.versions import (
 )
 from tallygate.session import settings, shuffles_for, use_contract_time
 from tallygate.sources import files
-from tallygate.sources.runs import RunLayout, load_manifest
+from tallygate.sources.runs import RunLayout, write_empty_manifest, write_manifest
 from tallygate.sources.snapshot_csv import (
     KIND,
     PLACE,
@@ -307,8 +307,10 @@ def publish_snapshot(
     reserve_run(spark, layout, batch_date)
     try:
         metrics = build_run(spark, source, root, run_id, max_reject_ratio, rules, limits, crowd)
-        entries = load_manifest(spark, layout.daily_sales) if metrics.gold_rows else []
-        files.write_once(spark, layout.marker("load_manifest"), {"entries": entries})
+        if metrics.gold_rows:
+            write_manifest(spark, layout.daily_sales, DAILY_SALES, layout.load_manifest)
+        else:
+            write_empty_manifest(spark, layout.load_manifest)
         files.write_once(
             spark,
             layout.marker("success"),

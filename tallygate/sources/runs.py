@@ -7,13 +7,12 @@ tables, and a filter on ``run_id`` prunes down to one directory.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from tallygate.contract import DAILY_SALES, ORDER_LINES, QUARANTINE, RUN_METRICS, SUPERSEDED
 from tallygate.operators.quality import checked_run_id
@@ -77,6 +76,10 @@ class RunLayout:
     def manifests(self) -> str:
         return f"{self.root}/manifests/{self.run_id}"
 
+    @property
+    def load_manifest(self) -> str:
+        return f"{self.manifests}/load_manifest"
+
     def marker(self, name: str) -> str:
         return f"{self.manifests}/{name}.json"
 
@@ -168,50 +171,78 @@ def success_marker(
 
 def data_files(spark: SparkSession, path: str) -> DataFrame:
     """Path and length of the non-empty Parquet files of a dataset; no file is opened."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .select("path", "length")
-        .filter("length > 0")
-        .orderBy("path")
-    )
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return found.select(F.col("_metadata.file_path").alias("path"), "length")
 
 
-def load_manifest(spark: SparkSession, path: str) -> list[dict[str, Any]]:
-    """The files a mart load has to read, by path; all of them are mandatory."""
-    entries = [
-        {"url": row.path, "mandatory": True, "meta": {"content_length": row.length}}
-        for row in data_files(spark, path).collect()
+MANIFEST = StructType(
+    [
+        StructField("url", StringType()),
+        StructField("mandatory", BooleanType()),
+        StructField("meta", StructType([StructField("content_length", LongType())])),
+        StructField("row_count", LongType()),
+        StructField("digest", StringType()),
     ]
-    if not entries:
+)
+# Entries of one part of a manifest.
+_ENTRIES_PER_PART = 100_000
+
+
+def row_digest(schema: StructType) -> Column:
+    """The sum of a hash of each row: the same for the same rows in any order."""
+    hashed = F.xxhash64(*schema.fieldNames()).cast("decimal(38,0)")
+    return F.coalesce(F.sum(hashed), F.lit(0)).cast("decimal(38,0)")
+
+
+def write_manifest(spark: SparkSession, path: str, schema: StructType, target: str) -> None:
+    """List the files a mart load has to read, all of them mandatory, as a dataset sorted by path.
+
+    Each entry has the file's length, its rows and a digest of them; that takes one scan of the
+    dataset. A dataset without data files is no snapshot.
+    """
+    listed = data_files(spark, path)
+    number = listed.count()
+    if not number:
         raise ManifestError(f"No Parquet files below {path}; an empty manifest is no snapshot")
-    return entries
+    held = (
+        spark.read.schema(schema)
+        .parquet(path)
+        .groupBy(F.col("_metadata.file_path").alias("path"))
+        .agg(F.count(F.lit(1)).alias("row_count"), row_digest(schema).alias("digest"))
+    )
+    entries = listed.join(held, "path", "left").select(
+        F.col("path").alias("url"),
+        F.lit(True).alias("mandatory"),
+        F.struct(F.col("length").alias("content_length")).alias("meta"),
+        F.coalesce("row_count", F.lit(0)).alias("row_count"),
+        F.coalesce("digest", F.lit(0).cast("decimal(38,0)")).cast("string").alias("digest"),
+    )
+    parts = 1 + number // _ENTRIES_PER_PART
+    entries.repartitionByRange(parts, "url").sortWithinPartitions("url").write.json(target)
 
 
-_MANIFEST = "entries array<struct<url:string,mandatory:boolean,meta:struct<content_length:long>>>"
+def write_empty_manifest(spark: SparkSession, target: str) -> None:
+    """The manifest of a snapshot without rows."""
+    spark.createDataFrame([], MANIFEST).write.json(target)
 
 
-def read_manifest(spark: SparkSession, root: str, run_id: str) -> list[str]:
-    """The file paths in a run's published manifest, whose lengths the files still have."""
+def read_manifest(spark: SparkSession, root: str, run_id: str) -> DataFrame:
+    """A run's manifest, after checking that its files are there and have their lengths."""
     layout = RunLayout(root, run_id)
-    path = layout.marker("load_manifest")
-    entries = spark.read.schema(_MANIFEST).option("multiLine", True).json(path)
-    listed = entries.select(F.explode("entries").alias("entry")).select(
-        F.col("entry.url").alias("path"), F.col("entry.meta.content_length").alias("wanted")
-    )
-    if listed.isEmpty():
-        return []
-    changed = listed.join(data_files(spark, layout.daily_sales), "path", "left").filter(
-        ~F.col("wanted").eqNullSafe(F.col("length"))
+    entries = spark.read.schema(MANIFEST).json(layout.load_manifest)
+    there = data_files(spark, layout.daily_sales).withColumnRenamed("path", "url")
+    changed = entries.join(there, "url", "left").filter(
+        ~F.col("meta.content_length").eqNullSafe(F.col("length"))
     )
     if not changed.isEmpty():
         raise ManifestError(f"Files of {run_id} are not as its manifest lists them")
-    return [row.path for row in listed.collect()]
+    return entries
 
 
-def read_listed_daily_sales(spark: SparkSession, listed: Sequence[str]) -> DataFrame:
-    """Daily sales from exactly the listed files; no file means an empty snapshot."""
-    if not listed:
-        return spark.createDataFrame([], DAILY_SALES)
-    return spark.read.schema(DAILY_SALES).parquet(*listed)
+def read_listed_daily_sales(
+    spark: SparkSession, root: str, run_id: str, entries: DataFrame
+) -> DataFrame:
+    """Daily sales of a run from exactly the listed files; no entry means an empty snapshot."""
+    rows = spark.read.schema(DAILY_SALES).parquet(RunLayout(root, run_id).daily_sales)
+    named = rows.withColumn("url", F.col("_metadata.file_path"))
+    return named.join(entries.select("url"), "url", "left_semi").select(*DAILY_SALES.fieldNames())

@@ -1,32 +1,40 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import UTC, datetime
 
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from shapes import CURRENT, SAMPLE, SAMPLE_DAILY, SAMPLE_NET, csv_line, write_csv
 from tallygate.contract import DAILY_SALES, LOAD_AUDIT, MART
 from tallygate.operators.quality import QualityError
 from tallygate.operators.reports import mart_integrity
 from tallygate.plans import promote as promote_plan
+from tallygate.plans import lease as lease_plan
 from tallygate.plans.lake import reconcile_run
+from tallygate.plans.lease import LeaseHeldError, LeaseLostError
 from tallygate.plans.promote import (
     MartLoadError,
     audit_entry,
+    begin_load,
     current_mart,
     incoming_rows,
     load_audit,
     mart_after_load,
     misfits,
+    observed_stage,
     promote_run,
+    remove_old_loads,
     resume_run,
     show_mart,
     surviving_rows,
 )
 from tallygate.plans.publish import publish_snapshot
 from tallygate.sources import files
-from tallygate.sources.runs import MarkerError
+from tallygate.sources.runs import MarkerError, read_listed_daily_sales, read_manifest
 
 NOW = datetime(2026, 2, 3, 4, 5, 6, tzinfo=UTC)
 
@@ -98,7 +106,7 @@ def test_the_loser_of_a_race_tries_the_next_number(spark, lake, tmp_path, monkey
         real(session, path, record)
 
     monkeypatch.setattr(promote_plan.files, "write_once", overtaken)
-    assert promote_run(spark, lake, mart, "sample")["loaded"]
+    assert promote_run(spark, lake, mart, "sample", seconds=0)["loaded"]
     assert audited(spark, mart) == [("sample", len(SAMPLE_DAILY)), ("small", 1)]
     assert mart_rows(spark, mart) == SAMPLE_DAILY
 
@@ -113,11 +121,69 @@ def test_the_same_run_is_loaded_by_one_of_two_racers(spark, lake, tmp_path, monk
         real(session, path, record)
 
     monkeypatch.setattr(promote_plan.files, "write_once", overtaken)
-    assert not promote_run(spark, lake, mart, "sample")["loaded"]
+    assert not promote_run(spark, lake, mart, "sample", seconds=0)["loaded"]
     assert audited(spark, mart) == [("sample", len(SAMPLE_DAILY))]
     assert len(list((tmp_path / "daily_sales").iterdir())) == 1
 
 
+def test_a_held_lease_makes_others_wait_and_a_crashed_one_ends(spark, lake, tmp_path):
+    mart = str(tmp_path)
+    first = begin_load(spark, lake, mart, "small", seconds=3600)
+    with pytest.raises(LeaseHeldError):
+        begin_load(spark, lake, mart, "sample", patience=0.2)
+    assert first.commit()["loaded"]  # which releases it
+    crashed = begin_load(spark, lake, mart, "sample", seconds=0.3)
+    again = begin_load(spark, lake, mart, "sample", patience=30)
+    assert again.lease.number > crashed.lease.number and again.commit()["loaded"]
+    with pytest.raises(LeaseLostError):
+        crashed.commit()
+    assert audited(spark, mart) == [("sample", len(SAMPLE_DAILY)), ("small", 1)]
+    assert remove_old_loads(spark, mart, keep=2) == [crashed.location.rsplit("/", 1)[1]]
+
+
+def test_readers_ignore_what_a_late_writer_commits(spark, lake, tmp_path):
+    mart = str(tmp_path)
+    late = begin_load(spark, lake, mart, "small", seconds=0)
+    promote_run(spark, lake, mart, "sample")
+    promote_run(spark, lake, mart, "none")
+    files.write_once(spark, late.path, late.record(0))  # it never looked again
+    assert mart_rows(spark, mart) == set()
+    assert audited(spark, mart) == [("none", 0), ("sample", len(SAMPLE_DAILY))]
+    assert promote_run(spark, lake, mart, "small")["loaded"]  # it was never loaded
+    assert audited(spark, mart) == [("small", 1), ("none", 0), ("sample", len(SAMPLE_DAILY))]
+
+
+def test_of_two_claims_of_a_number_the_earliest_holds_it(spark, tmp_path):
+    place = str(tmp_path / "lease")
+    seen = []
+    real = files.write_once
+
+    def both(session, path, record):
+        real(session, path, record)
+        if not seen:
+            seen.append(path)
+            time.sleep(0.05)
+            real(session, path.rsplit("-", 1)[0] + "-0000.json", {**record, "owner": "0000", "until": 0})
+
+    lease_plan.files.write_once, kept = both, lease_plan.files.write_once
+    try:
+        lease = lease_plan.acquire(spark, place, 4)
+    finally:
+        lease_plan.files.write_once = kept
+    assert lease.number == 5 and lease.owner != "0000" and lease.is_newest(spark)
+    lease.release(spark)
+    assert lease_plan.acquire(spark, place, 4).number == 6 and not lease.is_newest(spark)
+
+
+def test_a_load_reads_its_run_once(spark, lake):
+    """The rows, their checks and their digest come from one scan of the run's daily sales."""
+    entries = read_manifest(spark, lake, "sample")
+    stage = observed_stage(read_listed_daily_sales(spark, lake, "sample", entries), Observation("o"))
+    text = stage._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan parquet") == 1 and text.count("CollectMetrics") >= 1
+    assert "Exchange hashpartitioning" not in text
+
+
 def test_a_load_that_dies_before_its_commit_is_invisible(spark, lake, tmp_path, monkeypatch):
     mart = str(tmp_path)
     promote_run(spark, lake, mart, "small")
@@ -174,7 +240,7 @@ def test_rows_that_do_not_fit_the_mart_are_found(spark, stage, lake, tmp_path, m
             for column in stage.columns
         ))
         assert misfits(broken).count() == 2, name
-    monkeypatch.setattr(promote_plan, "misfits", lambda frame: frame)
+    monkeypatch.setattr(promote_plan, "misfit", lambda: F.lit(True))
     with pytest.raises(MartLoadError):
         promote_run(spark, lake, str(tmp_path), "sample")
     assert audited(spark, str(tmp_path)) == []
@@ -213,8 +279,9 @@ def test_the_catalog_shows_the_last_load(spark, lake, tmp_path):
     view, runs = "mart_test.daily_sales", "mart_test.pipeline_runs"
     assert spark.table(view).schema.names == MART.names and spark.table(view).count() == 0
     for run_id, count in (("small", 1), ("sample", len(SAMPLE_DAILY)), ("none", 0)):
-        promote_run(spark, lake, mart, run_id)
-        show_mart(spark, "mart_test", mart)
+        promote_run(spark, lake, mart, run_id)  # the views follow by themselves
         assert spark.table(view).count() == count
+        checks = spark.table("mart_test.daily_sales_checks").first()
+        assert tuple(checks) == (count, 0, 0, 0, 0, min(1, count))
     listed = spark.table(runs).orderBy("sequence").select("run_id", "row_count").collect()
     assert [tuple(row) for row in listed] == [("small", 1), ("sample", len(SAMPLE_DAILY)), ("none", 0)]
