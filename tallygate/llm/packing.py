@@ -9,6 +9,8 @@ no bin fits and all are open, the fullest closes first.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from struct import pack as pack_ids
@@ -33,8 +35,25 @@ REMEMBERED = 200_000
 
 #: The pre-tokenizer's pattern, a fixed value of the vocabulary file.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Chunks that normalization leaves alone but for lower case; others go through the tokenizer whole.
-_PLAIN = regex.compile(r"[\x21-\x7E\xA1-įı-ɏ]+")
+#: Characters that normalization leaves alone but for lower case, white space left out.
+_PLAIN = "\\x21-\\x7E\\xA1-\u012f\u0131-\u024f"
+_PLAIN_CHUNK = re.compile(f"[{_PLAIN}]+")
+_PLAIN_TEXT = re.compile(f"[\\t-\\r {_PLAIN}]*")
+#: Characters of a text that are split at once.
+_AT_ONCE = 1 << 20
+
+
+def _plain_split() -> re.Pattern[str]:
+    """The pre-tokenizer's pattern for plain characters alone, with their letters and numbers spelled
+    out, which is twice as fast."""
+    given = [chr(c) for c in range(0x250) if _PLAIN_CHUNK.fullmatch(chr(c))]
+    every = sorted({*given, *"".join(given).lower()})
+    letters, numbers = ("".join(c for c in every if unicodedata.category(c)[0] == kind) for kind in "LN")
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+")
+
+
+_SPLIT_PLAIN = _plain_split()
+_SPACE = re.compile("[\t-\r ]")
 
 
 class _Encoder:
@@ -84,7 +103,7 @@ class _Chunks(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         text = chunk.decode()
-        if _PLAIN.fullmatch(text):
+        if _PLAIN_CHUNK.fullmatch(text):
             ids = b"".join(map(self.words.__getitem__, _SPLIT.findall(text.lower())))
         else:
             ids = self.encoder.text(text)
@@ -92,9 +111,29 @@ class _Chunks(dict):
         return ids
 
 
-def token_bytes(text: bytes, chunks: _Chunks) -> bytes:
-    """The ids of a whole text and the end id, as little-endian unsigned 32-bit integers."""
-    return b"".join(map(chunks.__getitem__, text.split())) + END_ID.to_bytes(4, "little")
+def _cut(text: str) -> Iterator[str]:
+    """The text in parts of about ``_AT_ONCE`` characters, cut at ASCII white space."""
+    begin = 0
+    while len(text) - begin > _AT_ONCE:
+        space = _SPACE.search(text, begin + _AT_ONCE)
+        end = space.start() if space else len(text)
+        yield text[begin:end]
+        begin = end
+    yield text[begin:]
+
+
+def token_bytes(text: str, chunks: _Chunks) -> bytes:
+    """The ids of a whole text and the end id, as little-endian unsigned 32-bit integers.
+
+    A plain text is split into words at once; others go by their chunks between white space.
+    """
+    found = []
+    for part in _cut(text):
+        if _PLAIN_TEXT.fullmatch(part):
+            found.append(b"".join(map(chunks.words.__getitem__, _SPLIT_PLAIN.findall(part.lower()))))
+        else:
+            found.append(b"".join(map(chunks.__getitem__, part.encode().split())))
+    return b"".join(found) + END_ID.to_bytes(4, "little")
 
 
 def pieces(docs: DataFrame, path: str, most: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
@@ -106,7 +145,7 @@ def pieces(docs: DataFrame, path: str, most: int = SEQUENCE, with_ids: bool = Fa
         chunks = _Chunks(path)
         for batch in slices(batches, "text", 4 << 20):
             rows = []
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()):
+            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 ids = token_bytes(text, chunks)
                 for k, at in enumerate(range(0, len(ids), 4 * most)):
                     part = ids[at : at + 4 * most]

@@ -31,7 +31,19 @@ def test_words_apart_have_the_ids_of_the_whole_text(tokenizer):
     chunks = packing._Chunks(vocabulary())
     for _ in range(2000):
         text = "".join(rng.choices(parts, k=rng.randint(0, 12)))
-        got = np.frombuffer(packing.token_bytes(text.encode(), chunks), "<u4").tolist()
+        got = np.frombuffer(packing.token_bytes(text, chunks), "<u4").tolist()
+        assert got == ids_of(tokenizer, text), text
+
+
+def test_plain_characters_are_split_like_any_other(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "_AT_ONCE", 30)
+    rng = random.Random(6)
+    chunks = packing._Chunks(vocabulary())
+    plain = [chr(c) for c in [*range(9, 14), *range(0x20, 0x7F), *range(0xA1, 0x130), *range(0x131, 0x250)]]
+    for _ in range(3000):
+        text = "".join(rng.choices(plain[:100] + ["'s", " ", "'LL"] * 3 if rng.random() < 0.6 else plain, k=rng.randint(0, 80)))
+        assert packing._PLAIN_TEXT.fullmatch(text)
+        got = np.frombuffer(packing.token_bytes(text, chunks), "<u4").tolist()
         assert got == ids_of(tokenizer, text), text
 
 
