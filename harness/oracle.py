@@ -200,6 +200,11 @@ def sql() -> dict[str, str]:
         "superseded_lines": f"SELECT {LINE}, dedup_rank FROM ranked WHERE dedup_rank > 1",
         "daily_sales": f"SELECT {DAILY} FROM daily",
         "snapshot_metrics": counts,
+        "recovered_attempts": (
+            "SELECT step, CAST(standing AS BIGINT) AS standing, * EXCLUDE (step, standing) "
+            f"FROM ({counts}), (VALUES ('turned down', 1), ('used again', 0), ('died', 1), "
+            "('recovered', 0)) AS t(step, standing)"
+        ),
         "published_runs": f"SELECT 'snapshot-1' AS run_id, '2026-01-15' AS batch_date, * "
         f"FROM ({counts})",
         "published_order_lines": f"SELECT {LINE} FROM ranked WHERE dedup_rank = 1",
@@ -230,8 +235,28 @@ def sql() -> dict[str, str]:
             "AS inconsistent_rows, CAST(count_if(country IS NULL) AS BIGINT) AS misfits FROM broken"
         ),
         "ordered_reports": (
-            "SELECT order_date, country, row_number() OVER (ORDER BY order_date, country) "
-            "AS position FROM (SELECT DISTINCT order_date, country FROM daily)"
+            "SELECT 'ascending' AS report, order_date AS first, country AS second, "
+            "row_number() OVER (ORDER BY order_date, country) AS position "
+            "FROM (SELECT DISTINCT order_date, country FROM daily) UNION ALL "
+            "SELECT 'mixed', country, category, row_number() OVER (ORDER BY country, sum(net_amount) DESC) "
+            "FROM daily GROUP BY country, category UNION ALL "
+            "SELECT 'descending', category, '', row_number() OVER (ORDER BY sum(net_amount) DESC) "
+            "FROM daily GROUP BY category"
+        ),
+        "exhaustive_outcomes": (
+            "SELECT count(*) AS row_count, TRUE AS same_rows, CAST(0 AS BIGINT) AS files_apart FROM judged"
+        ),
+        "overflow_refusal": (
+            "SELECT count(*) AS gold_rows, 'Totals of ' || "
+            "count_if(line_count * 9000000000000000 > 9999999999999999.99) || "
+            "' daily groups are out of range' AS refusal FROM daily"
+        ),
+        "guarded_inputs": (
+            "SELECT guard, TRUE AS held, (SELECT count(*) FROM landed) AS snapshot_rows FROM (VALUES "
+            "('missing columns are named in order'), ('run ids have one form'), "
+            "('batch dates are real dates'), ('ratios are numbers up to one'), "
+            "('nothing is left of refused runs'), ('times are stored as micros'), "
+            "('sessions read times in utc'), ('rows carry the time of their load')) AS t(guard)"
         ),
         "refused_runs": (
             "SELECT attempt, refusal, (SELECT count(*) FROM judged WHERE len(reasons) > 0) "

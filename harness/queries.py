@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,11 +23,11 @@ from harness.landing import (
     write_headed_files,
     write_snapshot_csv,
 )
-from tallygate.contract import CORRUPT, ORDER_LINES, RUN_METRICS, SOURCE_COLUMNS, SOURCE_FILE
+from tallygate.contract import CORRUPT, DAILY_SALES, ORDER_LINES, RUN_METRICS, SOURCE_COLUMNS, SOURCE_FILE
 from tallygate.operators import reports
 from tallygate.operators.classify import ACCEPTED, accepted_lines, classify, rejected_rows
 from tallygate.operators.daily import daily_sales, overflowed, summary
-from tallygate.operators.quality import QualityError, RowCounts
+from tallygate.operators.quality import QualityError, RowCounts, daily_totals, digest_columns
 from tallygate.operators.versions import (
     RANK,
     current_lines,
@@ -35,6 +36,7 @@ from tallygate.operators.versions import (
     rank_versions,
     superseded_lines,
 )
+from tallygate.plans.attempts import begin_attempt, live_staging, recover_attempts
 from tallygate.plans.lake import run_sql
 from tallygate.plans.lease import LeaseLostError
 from tallygate.plans.promote import (
@@ -48,12 +50,12 @@ from tallygate.plans.promote import (
     show_mart,
 )
 from tallygate.plans.publish import publish_snapshot
-from tallygate.session import use_contract_time
+from tallygate.session import settings, use_contract_time
 from tallygate.sources import files
+from tallygate.sources.registry import published_runs
 from tallygate.sources.runs import (
     MANIFEST,
     data_files,
-    published_runs,
     read_daily_sales,
     read_listed_daily_sales,
     read_manifest,
@@ -155,6 +157,25 @@ def row_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.groupBy("outcome").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def exhaustive_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a run's three outputs together, as a multiset, against those of its raw files."""
+    place = published(spark, sf_dir)
+    key = ["_record_hash", SOURCE_FILE]
+    given = classify(read_snapshot(spark, place.raw)).select(*key)
+    outputs = [read(spark, place.root, RUN_ID).select(*key) for read in (read_quarantine, read_order_lines, read_superseded)]
+    together = outputs[0].unionByName(outputs[1]).unionByName(outputs[2])
+    names = ("row_count", "first_sum", "second_sum")
+    left, right = (frame.agg(*digest_columns()).select(F.struct(*names)) for frame in (given, together))
+    files_of = together.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("output_rows"))
+    raw_of = given.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("raw_rows"))
+    apart = raw_of.join(files_of, SOURCE_FILE, "full").filter(~F.col("raw_rows").eqNullSafe(F.col("output_rows")))
+    return together.agg(F.count(F.lit(1)).alias("row_count")).select(
+        "row_count",
+        (left.scalar() == right.scalar()).alias("same_rows"),
+        apart.agg(F.count(F.lit(1)).alias("n")).scalar().alias("files_apart"),
+    )
+
+
 def current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(current_lines(_ranked(spark, sf_dir)))
 
@@ -291,6 +312,20 @@ def overflow_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def overflow_refusal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gate on totals says of daily sales in which every line is worth nine thousand billions."""
+    worth = F.lit(9_000_000_000_000_000).cast("decimal(18,2)")
+    lines = current_lines(_ranked(spark, sf_dir)).withColumns({"gross_amount": worth, "net_amount": worth})
+    place = f"{shared_folder(spark, sf_dir, 'overflow_refusal')}/daily"
+    daily_sales(lines).write.parquet(place)  # as a run stages them
+    rows, refusal = spark.read.schema(DAILY_SALES).parquet(place), None
+    try:
+        daily_totals(rows).check()
+    except QualityError as error:
+        refusal = str(error)
+    return rows.agg(F.count(F.lit(1)).alias("gold_rows")).withColumn("refusal", F.lit(refusal))
+
+
 def broken_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily sales broken on purpose, each group in a way that its counts choose, and counted."""
     place = published(spark, sf_dir)
@@ -315,14 +350,84 @@ def broken_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _positions(report: DataFrame, path: str) -> DataFrame:
+    """A sorted report's rows with their places in its order: places within the files that it is
+    written to, behind the rows of the files before."""
+    report.write.parquet(path)
+    at = F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("id")
+    rows = report.sparkSession.read.schema(report.schema).parquet(path).select("*", *at)
+    # one row for each file of the report
+    sizes = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("file", "first", before.alias("before"))
+    return rows.join(offsets, "file").withColumn("position", F.col("before") + F.col("id") - F.col("first") + 1)
+
+
 def ordered_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The days and countries of a report, with the places that its own order gives them."""
-    place = published(spark, sf_dir)
-    report = reports.sales_by_day_country(read_daily_sales(spark, place.root, RUN_ID))
-    # Numbers follow the sorted tasks; the report has a row for each day and country.
-    numbered = report.withColumn("at", F.monotonically_increasing_id())
-    position = F.row_number().over(Window.orderBy("at")).cast("long")
-    return plain(numbered.select("order_date", "country", position.alias("position")))
+    """The keys of an ascending, a mixed and a descending report, with the places that their own order
+    gives them."""
+    place, folder = promoted(spark, sf_dir), shared_folder(spark, sf_dir, "ordered_reports")
+    daily_rows = read_daily_sales(spark, place.root, RUN_ID)
+    made = {
+        "ascending": (reports.sales_by_day_country(daily_rows), ("order_date", "country")),
+        "mixed": (reports.category_performance(daily_rows), ("country", "category")),
+        "descending": (reports.category_revenue_share(current_mart(spark, place.mart)), ("category", None)),
+    }
+    shown = []
+    for name, (report, keys) in made.items():
+        first, second = (F.lit("") if key is None else F.col(key).cast("string") for key in keys)
+        placed = _positions(report, f"{folder}/{name}")
+        shown.append(placed.select(F.lit(name).alias("report"), first.alias("first"), second.alias("second"), "position"))
+    return shown[0].unionByName(shown[1]).unionByName(shown[2])
+
+
+def guarded_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Guards that no other query shows, over the bridged snapshot and its published run."""
+    place, root = promoted(spark, sf_dir), shared_folder(spark, sf_dir, "guarded_inputs")
+    rows = rows_as_landed(spark, sf_dir)
+
+    def refused(attempt: Callable[[], object], kind: type[Exception], words: str) -> bool:
+        try:
+            attempt()
+        except kind as refusal:
+            return words in str(refusal)
+        return False
+
+    def publish(**change: object) -> Callable[[], object]:
+        given = {"run_id": "guarded", "batch_date": BATCH_DATE, "max_reject_ratio": MOST_REJECTED, **change}
+        return lambda: publish_snapshot(spark, place.raw, root, **given)
+
+    lines = RunLayout(place.root, RUN_ID).superseded
+    with settings(spark, {"spark.sql.parquet.int96AsTimestamp": "false"}):
+        stored = dict(spark.read.parquet(lines).dtypes)  # the older form reads as binary so
+    zone = "spark.sql.session.timeZone"
+    with settings(spark, {zone: "Asia/Tokyo"}):
+        use_contract_time(spark)
+        in_utc = spark.conf.get(zone) == "UTC"
+    mart, folder = f"{root}/mart", shared_folder(spark, sf_dir, "guarded_inputs_mart")
+    began = datetime.now(UTC)
+    load = promote_run(spark, place.root, folder, RUN_ID)
+    times = current_mart(spark, folder).agg(F.min("loaded_at"), F.max("loaded_at")).first()
+    audited = load_audit(spark, folder).first().loaded_at
+    held = {
+        "missing columns are named in order": refused(
+            lambda: classify(rows.drop("status", "country")), ValueError, "columns: country, status"
+        ),
+        "run ids have one form": refused(publish(run_id="a/b"), ValueError, "run_id"),
+        "batch dates are real dates": refused(publish(batch_date="2026-02-30"), ValueError, ""),
+        "ratios are numbers up to one": all(
+            refused(publish(max_reject_ratio=r), ValueError, "max_reject_ratio") for r in (True, float("nan"), 1.01)
+        ),
+        "nothing is left of refused runs": not files.exists(spark, root) and not files.exists(spark, mart),
+        "times are stored as micros": stored["updated_at"] == "timestamp",
+        "sessions read times in utc": in_utc,
+        "rows carry the time of their load": times[0] == times[1] == audited
+        and began <= audited.astimezone(UTC) <= datetime.now(UTC)
+        and load["loaded_at"] == audited.astimezone(UTC),
+    }
+    shown = F.explode(F.create_map(*[F.lit(x) for item in held.items() for x in item])).alias("guard", "held")
+    counted = rows.agg(F.count(F.lit(1)).alias("snapshot_rows"))
+    return counted.select(shown, "snapshot_rows")
 
 
 def refused_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,6 +452,32 @@ def refused_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refused.withColumn("evidence_rows", kept.scalar())
 
 
+def recovered_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An attempt that a gate turns down keeps its staged lines for a second one; a third dies. What
+    staged data stands after each step, and the second one's metrics."""
+    place, root = landed(spark, sf_dir), shared_folder(spark, sf_dir, "recovered_attempts")
+    standing = []
+
+    def note(step: str) -> None:
+        standing.append((step, live_staging(spark, root).count()))
+
+    try:
+        publish_snapshot(spark, place.raw, root, "strict", BATCH_DATE, 0.0, keep_staging=True)
+    except QualityError:
+        note("turned down")
+    kept = live_staging(spark, root).first().attempt
+    metrics = publish_snapshot(spark, place.raw, root, "loose", BATCH_DATE, MOST_REJECTED, reuse=kept)
+    note("used again")
+    begin_attempt(spark, RunLayout(root, "dead"), "", "")
+    note("died")
+    recover_attempts(spark, root, older_than=0)
+    note("recovered")
+    row = tuple(metrics.as_dict()[name] for name in RUN_METRICS.fieldNames())
+    found = spark.createDataFrame([row], RUN_METRICS).drop("run_id")
+    steps = F.explode(F.create_map(*[F.lit(x) for item in standing for x in item]))
+    return found.select(steps.alias("step", "standing"), "*").withColumn("standing", F.col("standing").cast("long"))
+
+
 def header_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which files break the header contract, and the rows of those that keep it."""
     root = shared_folder(spark, sf_dir, "header_contract")
@@ -525,12 +656,16 @@ QUERIES: dict[str, Query] = {
     "published_quarantine": published_quarantine,
     "published_daily_sales": _published(read_daily_sales),
     "row_outcomes": row_outcomes,
+    "exhaustive_outcomes": exhaustive_outcomes,
     "file_manifest": file_manifest,
     "gate_outcomes": gate_outcomes,
     "overflow_gate": overflow_gate,
+    "overflow_refusal": overflow_refusal,
     "broken_gold": broken_gold,
     "ordered_reports": ordered_reports,
+    "guarded_inputs": guarded_inputs,
     "refused_runs": refused_runs,
+    "recovered_attempts": recovered_attempts,
     "header_contract": header_contract,
     "resumed_run": resumed_run,
     "catalog_mart": catalog_mart,

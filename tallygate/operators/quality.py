@@ -8,9 +8,10 @@ from datetime import date
 from decimal import Decimal
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tallygate.contract import RECORD_HASH, SOURCE_FILE
 from tallygate.operators.daily import overflowed
 
 # Fixed value: the form of a run id.
@@ -68,6 +69,48 @@ class RowCounts:
         return ratio
 
 
+class RowDigest:
+    """The rows of a dataset as a multiset: their number and the sums of two hashes of each.
+
+    Order and partitioning don't matter, and sums of parts add up. A dataset that is written anyway
+    gives its digest in the same pass. Rows are told apart by their record hash and their file, so
+    a row that is swapped for another shows, even where all counts agree.
+    """
+
+    def __init__(self, name: str):
+        self._metrics = Observation(name)
+
+    def observe(self, frame: DataFrame, counted: Column | None = None) -> DataFrame:
+        """The same rows; the action that writes them fills the digest, of rows ``counted`` alone."""
+        return frame.observe(self._metrics, *digest_columns(counted))
+
+    def get(self) -> tuple[int, Decimal, Decimal]:
+        found = self._metrics.get
+        return found["row_count"], found["first_sum"], found["second_sum"]
+
+
+def digest_columns(counted: Column | None = None) -> list[Column]:
+    """Aggregates of a digest: row_count, first_sum and second_sum."""
+    counted = F.lit(True) if counted is None else counted
+
+    def total(*columns: Column | str) -> Column:
+        hashed = F.when(counted, F.xxhash64(*columns)).cast("decimal(38,0)")
+        return F.coalesce(F.sum(hashed), F.lit(0)).cast("decimal(38,0)")
+
+    return [
+        F.count_if(counted).alias("row_count"),
+        total(RECORD_HASH, SOURCE_FILE).alias("first_sum"),
+        total(F.lit("second"), SOURCE_FILE, RECORD_HASH).alias("second_sum"),
+    ]
+
+
+def reconcile_rows(given: tuple, parts: list[tuple]) -> None:
+    """The parts together must hold every given row as often as it was given, and no other."""
+    together = tuple(map(sum, zip(*parts)))
+    if together != tuple(given):
+        raise QualityError(f"Rows do not reconcile: {given} in, {together} in the outputs together")
+
+
 @dataclass(frozen=True)
 class DailyTotals:
     groups: int

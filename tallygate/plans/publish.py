@@ -10,9 +10,9 @@ a lost executor.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
-import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -37,11 +37,15 @@ from tallygate.operators.classify import (
 )
 from tallygate.operators.daily import daily_sales
 from tallygate.operators.quality import (
+    QualityError,
     RowCounts,
+    RowDigest,
     RunMetrics,
     checked_batch_date,
     checked_ratio,
     daily_totals,
+    digest_columns,
+    reconcile_rows,
 )
 from tallygate.operators.versions import (
     CROWD,
@@ -51,8 +55,18 @@ from tallygate.operators.versions import (
     rank_at_scale,
     superseded_lines,
 )
+from tallygate.plans.attempts import (
+    FAILED,
+    KEPT,
+    PUBLISHED,
+    Attempt,
+    begin_attempt,
+    source_digest,
+    staged_for_reuse,
+)
 from tallygate.session import settings, shuffles_for, use_contract_time
 from tallygate.sources import files
+from tallygate.sources.registry import announce_run, compact_registry
 from tallygate.sources.runs import RunLayout, write_empty_manifest, write_manifest
 from tallygate.sources.snapshot_csv import (
     KIND,
@@ -112,6 +126,7 @@ def _stage_lines(
     path: str,
     rules: Sequence[Rule],
     limits: Limits,
+    given: RowDigest,
 ) -> Staged:
     """Parse and classify all lines; header and blank lines stay only for the check."""
     kept = (KIND, PLACE)
@@ -130,7 +145,7 @@ def _stage_lines(
         }
     )
     needed = is_data() | F.col(PLACE).isNotNull()
-    return Staged.write(lines.filter(needed), path, split=OUTCOME)
+    return Staged.write(given.observe(lines.filter(needed), is_data()), path, split=OUTCOME)
 
 
 def _stage_ranked(
@@ -142,7 +157,13 @@ def _stage_ranked(
 
 
 def write_order_lines(
-    lines: DataFrame, rows: int, size: int, path: str, limits: Limits, file_bytes: int = FILE_BYTES
+    lines: DataFrame,
+    rows: int,
+    size: int,
+    path: str,
+    limits: Limits,
+    file_bytes: int = FILE_BYTES,
+    digest: RowDigest | None = None,
 ) -> None:
     """One directory per order date, with as few files as the size of the date allows.
 
@@ -150,14 +171,15 @@ def write_order_lines(
     as many shares as it has files of ``file_bytes``, and the rows are dealt out by date and
     share, so a date has at most that many files however many cores there are.
 
-    size: bytes that the ``rows`` lines take on storage.
+    size: bytes that the ``rows`` lines take on storage. digest: filled with the rows written.
     """
+    digest = RowDigest("order lines") if digest is None else digest
     share_rows = max(1, math.floor(file_bytes * rows / max(1, size)))
     dates = lines.groupBy("order_date").agg(F.count(F.lit(1)).alias("date_rows")).withColumn(
         "shares", F.ceil(F.col("date_rows") / share_rows)
     )
     if rows == 0 or (shares := dates.agg(F.sum("shares")).first()[0]) is None:
-        lines.write.partitionBy("order_date").parquet(path)
+        digest.observe(lines).write.partitionBy("order_date").parquet(path)
         return
     # The contract's range of dates bounds the table that is broadcast.
     bounded = limits.order_days() <= _MOST_DATES
@@ -169,7 +191,7 @@ def write_order_lines(
     )
     # Sorted by share as well, so that a task writes one file for each, date by date.
     ordered = dealt.sortWithinPartitions("order_date", "share").select(*lines.columns)
-    ordered.write.partitionBy("order_date").parquet(path)
+    digest.observe(ordered).write.partitionBy("order_date").parquet(path)
 
 
 def build_run(
@@ -181,21 +203,60 @@ def build_run(
     rules: Sequence[Rule] | None = None,
     limits: Limits = DEFAULT_LIMITS,
     crowd: int = CROWD,
+    keep_staging: bool = False,
+    reuse: str | None = None,
 ) -> RunMetrics:
     """Write all datasets of a run, without markers; see ``publish_snapshot``.
 
-    Quarantine and audit are written even if a gate then fails.
+    Quarantine and audit are written even if a gate then fails. With ``keep_staging``, the lines
+    staged by an attempt that a gate turns down stay, and ``reuse`` names such an attempt.
     """
     layout = RunLayout(root, run_id)
     checked_ratio(max_reject_ratio)
     rules = contract_rules(limits) if rules is None else list(rules)
     use_contract_time(spark)
-    staging = f"{layout.staging}-{uuid.uuid4().hex}"  # of this attempt alone
+    spelled = f"{[(rule.reason, str(rule.broken)) for rule in rules]} {limits}"
+    by = hashlib.sha256(spelled.encode()).hexdigest()
+    digest = source_digest(spark, source)
+    lines = None if reuse is None else f"{staged_for_reuse(spark, root, reuse, digest, by)}/lines"
+    attempt = begin_attempt(spark, layout, digest, by)
+    outcome = FAILED
     try:
         with settings(spark, _RUN):
-            return _build(spark, source, layout, staging, max_reject_ratio, rules, limits, crowd)
+            metrics = _build(
+                spark, source, layout, attempt.staging, max_reject_ratio, rules, limits, crowd, lines
+            )
+        outcome = PUBLISHED
+        if lines is not None:
+            Attempt(layout, reuse, lines.removesuffix("/lines")).end(spark, PUBLISHED)
+        return metrics
+    except QualityError:
+        outcome = KEPT if keep_staging and lines is None else FAILED
+        raise
     finally:
-        files.remove(spark, staging)
+        attempt.end(spark, outcome)
+
+
+def _staged(
+    spark: SparkSession,
+    source: str | Sequence[str],
+    layout: RunLayout,
+    path: str,
+    rules: Sequence[Rule],
+    limits: Limits,
+    reuse: str | None,
+) -> tuple[Staged, tuple]:
+    """The classified lines on storage, and the digest of the rows that were given."""
+    if reuse is not None:
+        staged = Staged(reuse, spark.read.parquet(reuse).schema, OUTCOME)
+        return staged, tuple(staged.read(spark).agg(*digest_columns(is_data())).first())
+    # Opening lines are looked at before any row is parsed; filters keep the rest unread
+    # where a file has more than one split.
+    opening = snapshot_lines(spark, source).filter(F.col(PLACE).isNotNull())
+    check_headers(opening, SnapshotFiles(spark, source), f"{layout.manifests}/bad_headers")
+    given = RowDigest(f"given {path}")
+    staged = _stage_lines(spark, source, path, rules, limits, given)
+    return staged, given.get()
 
 
 def _build(
@@ -207,19 +268,20 @@ def _build(
     rules: Sequence[Rule],
     limits: Limits,
     crowd: int,
+    reuse: str | None,
 ) -> RunMetrics:
-    # Opening lines are looked at before any row is parsed; filters keep the rest unread
-    # where a file has more than one split.
-    opening = snapshot_lines(spark, source).filter(F.col(PLACE).isNotNull())
-    check_headers(opening, SnapshotFiles(spark, source), f"{layout.manifests}/bad_headers")
-    staged = _stage_lines(spark, source, f"{staging}/lines", rules, limits)
+    staged, given = _staged(spark, source, layout, f"{staging}/lines", rules, limits, reuse)
+    digests = {name: RowDigest(f"{name} {staging}") for name in ("rejected", "current", "superseded")}
     outcomes = staged.counts(spark)
     accepted, rejected = (outcomes.get(name, 0) for name in ("accepted", "rejected"))
-    rejected_rows(staged.read(spark, "rejected")).write.parquet(layout.quarantine)
-    with settings(spark, shuffles_for(spark, files.size(spark, f"{staging}/lines"))):
+    turned_away = digests["rejected"].observe(rejected_rows(staged.read(spark, "rejected")))
+    turned_away.write.parquet(layout.quarantine)
+    with settings(spark, shuffles_for(spark, files.size(spark, staged.path))):
         lines = accepted_lines(staged.read(spark, "accepted"))
         ranked = _stage_ranked(spark, lines, accepted, staging, crowd)
-        return _check_and_write(spark, ranked, accepted, rejected, layout, staging, most, limits)
+        return _check_and_write(
+            spark, ranked, accepted, rejected, layout, staging, most, limits, given, digests
+        )
 
 
 def _check_and_write(
@@ -231,8 +293,11 @@ def _check_and_write(
     staging: str,
     most: float,
     limits: Limits,
+    given: tuple,
+    digests: dict[str, RowDigest],
 ) -> RunMetrics:
-    superseded_lines(ranked.read(spark, "no")).write.parquet(layout.superseded)
+    older = digests["superseded"].observe(superseded_lines(ranked.read(spark, "no")))
+    older.write.parquet(layout.superseded)
     versions = ranked.counts(spark)
     counts = RowCounts(accepted + rejected, rejected, versions.get("yes", 0), versions.get("no", 0))
     counts.reconcile()
@@ -240,7 +305,10 @@ def _check_and_write(
 
     current = current_lines(ranked.read(spark, "yes"))
     held = files.size(spark, ranked.path) * counts.current // max(1, accepted)
-    write_order_lines(current, counts.current, held, layout.order_lines, limits)
+    write_order_lines(
+        current, counts.current, held, layout.order_lines, limits, digest=digests["current"]
+    )
+    reconcile_rows(given, [digest.get() for digest in digests.values()])
 
     staged_daily = f"{staging}/daily"
     daily_sales(current).write.parquet(staged_daily)
@@ -294,10 +362,12 @@ def publish_snapshot(
     rules: Sequence[Rule] | None = None,
     limits: Limits = DEFAULT_LIMITS,
     crowd: int = CROWD,
+    keep_staging: bool = False,
+    reuse: str | None = None,
 ) -> RunMetrics:
     """Build a run and mark it: started, then its load manifest and success, or failure.
 
-    Readers go by the success marker, which is written last.
+    Readers go by the success marker, which is written last. See ``build_run`` for the last two.
     """
     layout = RunLayout(root, run_id)
     if batch_date is not None:
@@ -306,11 +376,14 @@ def publish_snapshot(
     checked_ratio(max_reject_ratio)
     reserve_run(spark, layout, batch_date)
     try:
-        metrics = build_run(spark, source, root, run_id, max_reject_ratio, rules, limits, crowd)
+        metrics = build_run(
+            spark, source, root, run_id, max_reject_ratio, rules, limits, crowd, keep_staging, reuse
+        )
         if metrics.gold_rows:
             write_manifest(spark, layout.daily_sales, DAILY_SALES, layout.load_manifest)
         else:
             write_empty_manifest(spark, layout.load_manifest)
+        announce_run(spark, layout)
         files.write_once(
             spark,
             layout.marker("success"),
@@ -321,4 +394,5 @@ def publish_snapshot(
             spark, layout.marker("failure"), {"run_id": run_id, "failed_at": _now()}
         )
         raise
+    compact_registry(spark, root)
     return metrics

@@ -140,15 +140,6 @@ def read_superseded(spark: SparkSession, root: str, run_id: str) -> DataFrame:
     return _read_run(spark, f"{layout.root}/audit/duplicates", layout.superseded, SUPERSEDED)
 
 
-def published_runs(spark: SparkSession, root: str) -> DataFrame:
-    """Metrics of every run that has a success marker; only these may be read."""
-    return (
-        spark.read.schema(SUCCESS_MARKER)
-        .options(multiLine=True, recursiveFileLookup=True, pathGlobFilter="success.json")
-        .json(f"{root.rstrip('/')}/manifests")
-    )
-
-
 def of_published_runs(frame: DataFrame, runs: DataFrame) -> DataFrame:
     """Rows that belong to a published run, from a table over the runs of a root."""
     return frame.join(runs.select("run_id").distinct(), "run_id", "left_semi")
