@@ -45,6 +45,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of a table as one struct, whatever their names."""
+    return F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in df.columns])
+
+
 def scratch(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir``, or where checkpoints go already.
     A local session without either gets its own."""

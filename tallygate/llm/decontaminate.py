@@ -8,7 +8,7 @@ An exact phrase leaves each list at its own offset; a proximity match may leave
 ``slop`` words away from it.
 
 The test items are a stated query set. They are handed to the tasks in blocks of at most
-``BLOCK_BYTES`` of text; every block is searched in all documents.
+``BLOCK_BYTES`` of text, one block after another; every block is searched in all documents.
 """
 
 from __future__ import annotations
@@ -19,11 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallygate.llm.common import slices
+from tallygate.llm.common import kept, slices, whole_row
 
 WINDOW = 10
 #: Test text handed to the tasks at once.
@@ -174,24 +174,25 @@ def search(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
     return index.mapInArrow(searched, StructType([*schema, *StructType.fromDDL(_RESULT)]))
 
 
-def query_blocks(benchmark: DataFrame, window: int = WINDOW, most: int = BLOCK_BYTES) -> list[Windows]:
-    """The test items as blocks of windows, each of about ``most`` bytes of text."""
+def query_blocks(benchmark: DataFrame, window: int = WINDOW, most: int = BLOCK_BYTES) -> Iterator[Windows]:
+    """The test items in blocks of windows, each of about ``most`` bytes of text, one after another: the
+    driver holds one block at a time."""
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = size // most + 1
     dealt = benchmark.select(
         F.col("item_id").cast("long"), "text", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).alias("block")
     )
-    return [
-        Windows([(r[0], r[1]) for r in dealt.where(F.col("block") == k).collect()], window)
-        for k in range(blocks)
-    ]
+    for k in range(blocks):
+        yield Windows([(r[0], r[1]) for r in dealt.where(F.col("block") == k).collect()], window)
 
 
-def _judged(docs: DataFrame, benchmark: DataFrame, window: int, slop: int, keep: list[str]) -> DataFrame:
-    """``row``, a struct of the columns ``keep``, beside the results of all blocks."""
-    found = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), docs["text"].alias("text"))
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int, slop: int, row: Column) -> DataFrame:
+    """``row`` beside the results of all blocks. With more than one, the results so far are written before
+    the next block is looked at, so that no plan and no task holds two."""
+    found, plain = docs.select(row.alias("row"), docs["text"].alias("text")), True
     for block in query_blocks(benchmark, window):
-        found = search(build_index(found.drop("n_words", "n_hit"), block), block, slop)
+        found = found if plain else kept(found)
+        found, plain = search(build_index(found.drop("n_words", "n_hit"), block), block, slop), False
     return found
 
 
@@ -203,9 +204,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     but is not named. Repeated rows get a row each, repeated items are named once. An empty table
     of documents gives no rows, an empty benchmark no hits. Other columns are not looked at.
     """
-    return _judged(docs, benchmark, window, slop, ["doc_id"]).select("row.doc_id", *_FOUND)
+    return _judged(docs, benchmark, window, slop, F.struct(docs["doc_id"])).select("row.doc_id", *_FOUND)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents without any occurrence of a window, with all their columns."""
-    return _judged(docs, benchmark, window, 0, docs.columns).where("n_hit = 0").select("row.*")
+    """The documents without any occurrence of a window, with all their columns, whatever their names.
+
+    Null and empty texts stay, repeated rows are judged alike, an empty benchmark takes none, and an empty
+    table stays empty.
+    """
+    return _judged(docs, benchmark, window, 0, whole_row(docs)).where("n_hit = 0").select("row.*")

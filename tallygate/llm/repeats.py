@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tallygate.llm.common import kept, slices, text_of
+from tallygate.llm.common import kept, slices, text_of, whole_row
 
 LEAST = 400
 #: Contexts of an anchor that one task compares.
@@ -304,10 +304,11 @@ def _spans(held: list[tuple], least: int, keep: str) -> list[tuple]:
 
 
 def without_repeats(
-    docs: DataFrame, least: int = LEAST, keep: str = "none", characters: bool = False
+    docs: DataFrame, least: int = LEAST, keep: str = "none", characters: bool = False, words: int = 0
 ) -> DataFrame:
     """``row``, a struct of the columns of ``docs``, with begins and ends of the maximal byte spans that
-    go from its text, and the bytes kept. With ``characters``, spans are cut back to whole ones.
+    go from its text, and the bytes kept. With ``characters``, spans are cut back to whole ones; only spans
+    that hold ``words`` whole words go.
 
     Nulls: a null text is empty, a null doc_id is an id like any other. Rows with the same doc_id and
     text are copies of each other under ``none``; under ``first`` they count as one document and each
@@ -315,7 +316,7 @@ def without_repeats(
     """
     spans = repeated_spans(docs.select("doc_id", "text"), least, keep)
     own = spans.groupBy(*_KEY).agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
-    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    row = whole_row(docs).alias("row")
     keyed = docs.select(row, *_key_columns(), text_of().alias("text"))
     names = ["row", "begins", "ends", "kept"]
 
@@ -325,6 +326,8 @@ def without_repeats(
             merged = [_merged(x) for x in batch["spans"].to_pylist()]
             if characters:
                 merged = [_whole(t, x) for t, x in zip(texts, merged)]
+            if words:
+                merged = [[x for x in own if whole_words(t, *x) >= words] for t, own in zip(texts, merged)]
             rest = []
             for text, spans in zip(texts, merged):
                 edges = [0, *(x for span in spans for x in span), len(text)]
@@ -348,6 +351,15 @@ def _merged(spans: list[dict] | None) -> list[list[int]]:
     return found
 
 
+def whole_words(text: bytes, begin: int, end: int) -> int:
+    """Words between ASCII white space that stand in a span as a whole."""
+    found = len(text[begin:end].split())
+    for inside, outside in ((begin, begin - 1), (end - 1, end)):
+        if 0 <= outside < len(text) and not text[inside : inside + 1].isspace() and not text[outside : outside + 1].isspace():
+            found -= 1  # cut by the span's edge
+    return max(0, found)
+
+
 def _whole(text: bytes, spans: list[list[int]]) -> list[list[int]]:
     found = []
     for begin, end in spans:
@@ -360,9 +372,16 @@ def _whole(text: bytes, spans: list[list[int]]) -> list[list[int]]:
     return found
 
 
-def deduplicated(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """The rows of ``docs`` with later copies of repeated strings cut from their texts; a text that is
-    all copy becomes empty, a null text stays."""
-    cut = without_repeats(docs, least, "first", characters=True)
-    text = F.when(F.size("begins") > 0, F.decode("kept", "UTF-8")).otherwise(F.col("row.text"))
-    return cut.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+def deduplicated(docs: DataFrame, least: int = LEAST, words: int = 0) -> DataFrame:
+    """The rows of ``docs`` with later copies of repeated strings cut from their texts, where these hold
+    ``words`` whole words.
+
+    A row whose text is all copy goes; one with a null or empty text stays as it is, and so does every
+    column but text. Repeated rows, of one doc_id and text, count as one document and each stay. An empty
+    table gives no rows; columns may have any names.
+    """
+    cut = without_repeats(docs, least, "first", characters=True, words=words)
+    touched = F.size("begins") > 0
+    text = F.when(touched, F.decode("kept", "UTF-8")).otherwise(F.col("row.text"))
+    left = cut.where(~touched | (F.octet_length("kept") > 0))
+    return left.select(F.col("row").withField("text", text).alias("row")).select("row.*")

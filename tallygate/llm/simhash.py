@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygate.llm.common import kept, slices, text_of
+from tallygate.llm.common import kept, slices, text_of, whole_row
 
 BITS = 3
 SHINGLE = 3
@@ -234,7 +234,7 @@ def first_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, blo
     key = ["id", "unnamed", "copy"]
     doc_id = F.col("doc_id").cast("long")
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        whole_row(docs).alias("row"),
         F.coalesce(doc_id, F.lit(0)).alias("id"), doc_id.isNull().alias("unnamed"), _copy().alias("copy"),
     )
     return rows.join(stay, key, "left_semi").dropDuplicates(key).select("row.*")

@@ -12,6 +12,7 @@ Spark takes over them. All documents are scored, by their whole text.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -21,15 +22,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tallygate.llm.common import kept, slices, text_of
+from tallygate.llm.common import kept, slices, text_of, whole_row
 
 #: The chain, and what counts as a category's positive label.
 CATEGORIES = {"junk": "quality = 0", "toxic": "toxic = 1"}
 SAMPLE = 20_000
 FOLDS = 3
-#: Features of a model, at most, and the log-likelihood ratio that one needs.
-FEATURES, LEAST_RATIO = 1000, 30.0
+#: Features of a model, at most.
+FEATURES = 1000
 BEGINNINGS = range(4, 10)
 THRESHOLD = 0.5
 #: The bias of a category that no labelled row has.
@@ -94,7 +96,15 @@ def _tally(rows: DataFrame, categories: list[str]) -> DataFrame:
     return kept(parts.groupBy("feature").agg(*sums).na.fill(0))
 
 
-def _chosen(tally: DataFrame, category: str, folds: list[int], n: int, positive: int) -> list[str]:
+def least_ratio(candidates: int) -> float:
+    """The log-likelihood ratio that a feature needs, so that among so many candidates hardly one gets
+    there by chance; a small sample has fewer and asks for less."""
+    return 2 * math.log(max(2, candidates)) + 2
+
+
+def _chosen(
+    tally: DataFrame, category: str, folds: list[int], n: int, positive: int, least: float
+) -> list[str]:
     """The features that tell most about a category in these folds, by log-likelihood ratio."""
     if not 0 < positive < n:
         return []
@@ -107,7 +117,7 @@ def _chosen(tally: DataFrame, category: str, folds: list[int], n: int, positive:
     rate = F.lit(positive / n)
     ratio = 2 * (part(p, held * rate) + part(held - p, held * (1 - rate)))
     scored = tally.select("feature", ratio.alias("ratio"), (p > held * rate).alias("more"))
-    best = scored.where((F.col("ratio") >= LEAST_RATIO) & F.col("more")).orderBy(F.desc("ratio"), "feature")
+    best = scored.where((F.col("ratio") >= least) & F.col("more")).orderBy(F.desc("ratio"), "feature")
     return [r["feature"] for r in best.limit(FEATURES).collect()]
 
 
@@ -153,6 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, categories: di
     rows = kept(sampled(docs, labels, sample, categories))
     names = list(categories)
     tally = _tally(rows, names)
+    least = least_ratio(tally.count())
     counts = [x for c in names for x in (F.count(c).alias(f"n_{c}"), F.sum(c).alias(f"p_{c}"))]
     sizes = {}
     for r in rows.groupBy("fold").agg(*counts).collect():
@@ -162,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, categories: di
         for out in [None, *range(FOLDS)]:
             folds = [k for k in range(FOLDS) if k != out]
             n, p = (sum(sizes.get((c, k), (0, 0))[i] for k in folds) for i in (0, 1))
-            chosen[c, out] = _chosen(tally, c, folds, n, p)
+            chosen[c, out] = _chosen(tally, c, folds, n, p, least)
     wanted = {f for fs in chosen.values() for f in fs}
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,9 +222,9 @@ def score(docs: DataFrame, models: list[Linear], categories: list[str] | None =
             columns = [pa.array(p, pa.float64()) for p in zip(*found)]
             yield pa.RecordBatch.from_arrays([batch["row"], *columns], ["row", *names])
 
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), text_of().alias("text"))
-    kinds = ", ".join(f"{n} double" for n in names)
-    return rows.mapInArrow(scored, f"row {rows.schema['row'].dataType.simpleString()}, {kinds}")
+    rows = docs.select(whole_row(docs).alias("row"), text_of().alias("text"))
+    kinds = [StructField(n, DoubleType()) for n in names]
+    return rows.mapInArrow(scored, StructType([rows.schema["row"], *kinds]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -228,5 +239,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 
 def not_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that aren't toxic, with all their columns."""
+    """The rows of ``docs`` that aren't toxic, with all their columns, whatever their names.
+
+    Nulls: a row with a null or empty text is judged by the base rate, so it stays. Repeated rows are
+    judged alike. Without labels, and of an empty table, all rows stay.
+    """
     return score(docs, fit(docs, labels)).where(F.col("p_toxic") < threshold).select("row.*")

@@ -13,7 +13,7 @@ from tallygate.llm import simhash
 from tallygate.llm.common import vocabulary
 from tallygate.llm.packing import pieces
 from tallygate.llm.queries import ORACLE_SQL, QUERIES
-from tests.llm.shapes import documents, prose
+from tests.llm.shapes import documents, odd_rows, prose
 
 SF_DIR = "/root/testdata/sf0.001"
 HERE = os.path.isdir(SF_DIR)
@@ -76,6 +76,30 @@ def test_each_stage_catches_its_cases_and_keeps_the_rest(spark, planted, tmp_pat
     assert packed == {(r["doc_id"], r["piece"], r["ids_crc32"]) for r in kept}
 
 
+def test_stages_take_odd_rows_and_any_column_names(spark, planted):
+    rows = odd_rows() + [(4, prose(40, 90)), (6, "word " * 500)]
+    given = documents(spark, rows, extra=True).selectExpr("*", "1 as `my col`", "2 as `a.b`", "3 as `tick`")
+    given = given.withColumnRenamed("tick", "ti`ck")
+    docs = given
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, planted[0])
+        assert docs.columns == given.columns, name
+        assert stage(spark, given.limit(0), planted[0]).count() == 0
+        if name == "toxicity":
+            assert docs.count() == len(rows)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, planted[0]).count() >= docs.count() > 5
+
+
+def test_texts_that_were_empty_stay_and_those_of_copies_alone_go(spark):
+    passage = " ".join(f"unlike{k}" for k in range(60))
+    short = " ".join(f"brief{k}" for k in range(45))
+    rows = [(1, passage), (2, passage), (3, ""), (4, None), (5, f"before {passage} after"), (6, short), (7, f"x {short} y")]
+    cut = corpus_pipeline.cut_repeats(spark, documents(spark, rows), "")
+    texts = {r["doc_id"]: r["text"] for r in cut.collect()}
+    assert texts.pop(5).split() == ["before", "after"]
+    assert texts == {1: passage, 3: "", 4: None, 6: short, 7: f"x {short} y"}
+
+
 def test_a_run_returns_the_last_stage(spark, planted):
     found = corpus_pipeline.run(spark, planted[0])
     assert found.count() > 300 and "sequence_id" in found.columns

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pytest
@@ -89,3 +90,12 @@ def test_long_texts_are_taken_in_pieces(monkeypatch):
     pieces = repeats.runs(text, LEAST)
     assert set(whole) <= set(pieces[2].tolist())
     assert (pieces[3] >= pieces[2]).all() and pieces[3][-1] == len(text) - LEAST
+
+
+def test_words_that_stand_whole_in_a_span():
+    text = b"one two three  four"
+    for begin in range(len(text) + 1):
+        for end in range(begin + 1, len(text) + 1):
+            places = [m.span() for m in re.finditer(rb"\S+", text)]
+            expected = sum(begin <= a and b <= end for a, b in places)
+            assert repeats.whole_words(text, begin, end) == expected, (begin, end)
