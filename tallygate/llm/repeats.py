@@ -14,8 +14,8 @@ brought together first:
    by prefix doubling, takes the previous and next smaller positions in suffix order, and with them
    the longest previous factor of each (by the larger positions, the longest next factor). A factor
    of ``least`` bytes means an earlier (later) copy.
-4. An anchor with more than ``TOGETHER`` contexts isn't compared in one task: its strings are
-   counted by a 128-bit digest instead, which deals them out evenly.
+4. An anchor with more contexts than ``TOGETHER_BYTES`` hold isn't compared in one task: its strings
+   are counted by a 128-bit digest instead, which deals them out evenly.
 
 ``keep="first"`` removes what has an earlier copy, in the order of doc_id and place; ``keep="none"``
 removes every copy.
@@ -36,8 +36,8 @@ from pyspark.sql.types import StructField, StructType
 from tallygate.llm.common import kept, slices, text_of, whole_row
 
 LEAST = 400
-#: Contexts of an anchor that one task compares.
-TOGETHER = 1000
+#: Bytes of an anchor's contexts that one task compares; a context has less than 2 * least.
+TOGETHER_BYTES = 4 << 20
 #: Bytes whose suffixes a task sorts at once; whole anchors, so at least those of one.
 BUFFER = 256 << 10
 #: String starts of a text that are looked at in one piece.
@@ -114,11 +114,12 @@ def suffix_ranks(data: np.ndarray, least: int) -> list[tuple[int, np.ndarray]]:
     value = np.zeros(len(data), _U)
     for k in range(8):
         value = (value << _U(8)) | padded[k : k + len(data)]
-    ranks = [(8, np.unique(value, return_inverse=True)[1])]
+    ranks = [(8, np.unique(value, return_inverse=True)[1].astype(np.int32))]
     while 2 * ranks[-1][0] <= least:
         length, rank = ranks[-1]
-        ahead = np.concatenate([rank[length:], np.zeros(min(length, len(rank)), rank.dtype)])
-        ranks.append((2 * length, np.unique(rank * len(rank) + ahead, return_inverse=True)[1]))
+        both = rank.astype(np.int64) * len(rank)
+        both[: max(0, len(rank) - length)] += rank[length:]
+        ranks.append((2 * length, np.unique(both, return_inverse=True)[1].astype(np.int32)))
     return ranks
 
 
@@ -183,8 +184,10 @@ def _identified(docs: DataFrame) -> DataFrame:
 _KEY = ["doc", "id"]
 
 
-def repeated_spans(docs: DataFrame, least: int = LEAST, keep: str = "none", together: int = TOGETHER) -> DataFrame:
-    """doc, id, begin and end of byte spans to remove; they may overlap."""
+def repeated_spans(docs: DataFrame, least: int = LEAST, keep: str = "none", together: int | None = None) -> DataFrame:
+    """doc, id, begin and end of byte spans to remove; they may overlap. together: contexts of an anchor
+    that one task compares; by default as many as ``TOGETHER_BYTES`` hold."""
+    together = max(1, TOGETHER_BYTES // (2 * least)) if together is None else together
     keyed = _identified(docs)
     names = [*_KEY, "anchor", "context", "first", "last"]
 

@@ -38,7 +38,7 @@ def cases():
     return rows + [(50, "ab" * 100), (51, passage[:LEAST]), (52, passage[1:LEAST])]
 
 
-@pytest.mark.parametrize("together", [repeats.TOGETHER, 1])
+@pytest.mark.parametrize("together", [None, 1])
 @pytest.mark.parametrize("keep", ["none", "first"])
 def test_spans_equal_a_plain_search(spark, monkeypatch, keep, together):
     spans = repeats.repeated_spans
