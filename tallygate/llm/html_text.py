@@ -1,14 +1,22 @@
 """Main text of web pages by the distribution of line blocks.
 
-Markup is stripped to lines, one for each block of text. Parts that aren't the article by their
-element or their class, role or id (menus, page headers, footers, sidebars, notices, adverts,
-forms, scripts, comments) leave no lines. Where a container begins or ends outside an article,
+Markup is stripped to lines, one for each block of text. Elements that are never part of an article
+(menus, page headers, footers, sidebars, notices, adverts, forms, scripts, comments; by element, class,
+role or id) leave no lines. Where a container begins or ends outside an article and outside ``<main>``,
 ``WINDOW`` empty lines stand, so the text length summed over a sliding window of lines falls to
 nothing there. It surges where a container's text begins and dives where it ends; what lies
-between is a region, short lines included. A page's article is its main region, whatever its windows;
-without one its ``<main>`` is. A page that marks neither keeps the regions that rise to ``SURGE``
-characters in a window, with all that stands in their container between its first and last text that
-isn't a menu, or else its longest.
+between is a region, short lines included.
+
+On every page the regions whose highest window is ``SURGE`` characters or more stay. Windows in an
+``<article>``, or in a ``<main>`` without one, count ``MARKED`` times, and with such windows on a page, others
+have to reach a ``MARKED``-th of the highest: a text beside an article stays only if it rises as high as the
+article does, and a teaser's article can't outdo the text beside it. Of a region outside these, all that stands
+in its container between the first and the last text that isn't a menu stays as well. If none rises so
+high, the longest region stays.
+
+Names that don't tell enough (``share``, ``widget``, ``cookie-bar``, a form around the whole page) leave an
+element out only if no window of it surges, links not counted; its windows outside an article count a
+``MARKED``-th while other text rises.
 """
 
 from __future__ import annotations
@@ -17,6 +25,7 @@ import html
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +35,8 @@ from tallygate.llm.common import slices
 
 WINDOW = 3
 SURGE = 150
+#: What a window counts in an article, against one outside.
+MARKED = 4
 #: A region of which links make up a larger share is a menu.
 MOST_LINKED = 0.5
 
@@ -46,14 +57,17 @@ _BLOCKS = _CONTAINERS | frozenset(
     "li menu p pre summary tbody tfoot thead tr".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_DROPPED = frozenset("aside button dialog footer form menu nav".split())
+_DROPPED = frozenset("aside button dialog footer menu nav".split())
 _DROPPED_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments "
-    "complementary consent contentinfo cookie cookies dialog disqus footer form gdpr login masthead menu menubar "
-    "modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promotion "
-    "recommended related replies reply search share sharing sidebar social sponsor sponsored subscribe toolbar "
-    "widget".split()
+    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
+    "complementary consent contentinfo cookie cookies disqus footer gdpr masthead menu menubar modal nav navbar "
+    "navigation newsletter notice notices pager pagination popup promo promotion recommended related replies "
+    "reply sidebar sponsor sponsored subscribe".split()
 )
+#: Names that texts have as well.
+_DOUBTFUL_NAMES = frozenset("alert dialog form login overlay search share sharing social toolbar widget".split())
+#: Parts of a name that say how something else is laid out.
+_ABOUT = frozenset("has is no non not with without".split())
 
 
 def _names(attributes: str) -> set[str]:
@@ -63,18 +77,76 @@ def _names(attributes: str) -> set[str]:
     return found
 
 
-Line = tuple[str, int, int, int]
+def _compound(names: set[str]) -> bool:
+    """Whether a name such as ``cookie-bar`` begins or ends with one that drops an element."""
+    for name in names:
+        parts = re.split("[-_]+", name)
+        if len(parts) > 1 and not _ABOUT.intersection(parts) and _DROPPED_NAMES.intersection((parts[0], parts[-1])):
+            return True
+    return False
 
 
-def lines_of(page: str) -> tuple[list[Line], list[list[int]]]:
-    """The lines of a page, and the first line and the line after the last of each container. A line:
-    text, the number of its article (below 0: of its main; 0: neither), characters in links, container.
+class Line(NamedTuple):
+    text: str
+    article: int = 0  # its number on the page; 0: none
+    main: int = 0
+    linked: int = 0  # characters in links
+    container: int = 0
+    doubtful: bool = False
 
-    Containers outside articles and mains stand apart by empty lines.
-    """
+
+def _surges(lines: list[Line]) -> bool:
+    """Whether a window of the lines has ``SURGE`` characters outside links."""
+    sizes = [max(0, len(x.text) - x.linked) for x in lines]
+    return any(sum(sizes[k : k + WINDOW]) >= SURGE for k in range(len(sizes)))
+
+
+class _Doubts:
+    """Open elements of doubtful name; at their end their lines stay if they surge."""
+
+    def __init__(self, lines: list[Line], spans: list[list[int]]):
+        self.lines, self.spans = lines, spans
+        self.open: list[list] = []  # name, first line, first container, elements of this name, surged
+        self.named: dict[str, list[int]] = {}  # places in open
+
+    def begin(self, name: str) -> None:
+        self.named.setdefault(name, []).append(len(self.open))
+        self.open.append([name, len(self.lines), len(self.spans), 1, False])
+
+    def nested(self, name: str) -> None:
+        if self.named.get(name):
+            self.open[self.named[name][-1]][3] += 1
+
+    def ends(self, name: str) -> bool:
+        """Take an end tag; whether it ends a doubtful element."""
+        if not self.named.get(name):
+            return False
+        own = self.open[self.named[name][-1]]
+        own[3] -= 1
+        return own[3] == 0
+
+    def settle(self, name: str | None = None) -> None:
+        """End the innermost element of the name and all in it; without a name, all."""
+        down = self.named[name][-1] if name else 0
+        while len(self.open) > down:
+            own, first, container, _, surged = self.open.pop()
+            self.named[own].pop()
+            if surged or _surges(self.lines[first:]):
+                if self.open:
+                    self.open[-1][4] = True
+            else:
+                del self.lines[first:]
+                for span in self.spans[container:]:
+                    span[:] = [first, first]
+
+
+def lines_of(page: str) -> tuple[list[Line], list[list[int]]]:
+    """The lines of a page, and the first line and the line after the last of each container. Containers
+    outside articles and mains stand apart by empty lines."""
     lines: list[Line] = []
     spans = [[0, 0]]  # container 0 is the page
     inside: list[tuple[str, int]] = []  # open containers
+    doubts = _Doubts(lines, spans)
     mains = main = 0  # mains seen, and open ones
     parts: list[str] = []
     article = articles = depth = linked = 0  # depth: of articles; linked: characters in links of this line
@@ -86,12 +158,16 @@ def lines_of(page: str) -> tuple[list[Line], list[list[int]]]:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            lines.append((text, article or -mains * (main > 0), linked, inside[-1][1] if inside else 0))
+            container = inside[-1][1] if inside else 0
+            lines.append(Line(text, article, mains * (main > 0), linked, container, bool(doubts.open)))
         linked = 0
 
     def end_region() -> None:
         end_line()
-        lines.extend([("", article, 0, 0)] * WINDOW)
+        lines.extend([Line("")] * WINDOW)
+
+    def apart() -> None:
+        end_line() if depth or main else end_region()
 
     at = 0
     for m in _TAG.finditer(page):
@@ -111,15 +187,33 @@ def lines_of(page: str) -> tuple[list[Line], list[list[int]]]:
                     continue
             else:
                 continue
-        if not close and name not in _VOID and name not in ("html", "body"):
+        if doubts.named.get("p") and name in _BLOCKS and not (close and name == "p"):  # a block ends a paragraph
+            apart()
+            doubts.settle("p")
+        if close and doubts.ends(name):
+            apart()
+            doubts.settle(name)
+            apart()
+        elif not close and name not in _VOID and name not in ("html", "body"):
             own = _names(m[4])
             # the header of an article is part of it
             drop = name in _DROPPED or (name == "header" or "header" in own) and not depth
-            if drop or own & _DROPPED_NAMES and name != "main" or _HIDDEN.search(m[4]):
-                end_line() if depth else end_region()
+            drop = drop or bool(own & _DROPPED_NAMES) and name != "main" or bool(_HIDDEN.search(m[4]))
+            doubtful = name == "form" or bool(own & _DOUBTFUL_NAMES) or _compound(own)
+            within = depth or main or name in ("article", "main")
+            if drop or within and name not in ("article", "main") and (name == "form" or _compound(own)):
+                apart()
                 if not m[4].endswith("/"):
                     skip, skips = name, 1
                 continue
+            if doubtful and name not in ("article", "main") and not m[4].endswith("/"):
+                apart()
+                doubts.begin(name)
+            else:
+                doubts.nested(name)
+        if name in ("article", "main") and not close and not depth and doubts.open:
+            end_line()
+            doubts.settle()
         if name == "article":
             end_region() if depth <= 1 else end_line()
             depth = max(0, depth + (-1 if close else 1))
@@ -149,12 +243,19 @@ def lines_of(page: str) -> tuple[list[Line], list[list[int]]]:
     if not skip:
         parts.append(page[at:])
     end_line()
-    return lines, [[a, len(lines) if b <= 0 else b] for a, b in spans]
+    doubts.settle()
+    return lines, [[a, len(lines) if b < 0 or not k else b] for k, (a, b) in enumerate(spans)]
 
 
-def regions(lines: list[Line]) -> list[tuple[int, int, int]]:
-    """(first line, line after the last, highest window) of each stretch between surge and dive."""
-    sizes = [len(line[0]) for line in lines]
+class Region(NamedTuple):
+    begin: int
+    end: int
+    peak: int  # characters of its highest window
+
+
+def regions(lines: list[Line]) -> list[Region]:
+    """Each stretch between surge and dive, from its first line to the one after its last."""
+    sizes = [len(x.text) for x in lines]
     found, begin, peak = [], None, 0
     total = sum(sizes[:WINDOW])
     for k in range(len(sizes)):
@@ -167,50 +268,58 @@ def regions(lines: list[Line]) -> list[tuple[int, int, int]]:
         total += (sizes[k + WINDOW] if k + WINDOW < len(sizes) else 0) - sizes[k]
     if begin is not None:
         found.append((begin, len(sizes), peak))
-    return found
+    # windows look ahead
+    return [Region(next(k for k in range(a, b) if sizes[k]), b, peak) for a, b, peak in found]
 
 
 def main_text(page: str | None) -> str:
     """The main text of a page: its blocks in page order, one on each line. Null or empty: empty."""
     lines, spans = lines_of(page or "")
-    found = []
-    for begin, end, peak in regions(lines):
-        begin = next(k for k in range(begin, end) if lines[k][0])  # windows look ahead
-        own = [x for x in lines[begin:end] if x[0]]
-        size = sum(len(x[0]) for x in own)
-        found.append((size, peak, sum(x[2] for x in own), own[0][1], [x[0] for x in own], begin, own[0][3]))
-    sizes: dict[int, int] = {}
-    for size, _, _, article, *_ in found:
-        if article:
-            sizes[article] = sizes.get(article, 0) + size
-    marked = [a for a in sizes if a > 0] or list(sizes)
-    if marked:
-        chosen = max(marked, key=lambda a: (sizes[a], -abs(a)))
-        kept = [x[4] for x in found if x[3] == chosen]
-    else:
-        prose = [x for x in found if x[2] <= MOST_LINKED * x[0]]
-        risen = [x for x in prose if x[1] >= SURGE]
-        kept = _contained(found, prose, risen, spans) or prose[:1] and [max(prose, key=lambda x: x[0])[4]]
-    return "\n".join(t for texts in kept for t in texts)
-
-
-def _contained(found: list[tuple], prose: list[tuple], risen: list[tuple], spans: list[list[int]]) -> list[list[str]]:
-    """The texts of the risen regions and of all between the first and the last prose of their containers;
-    of what stands right in the body or the page, of regions that stand there too."""
-    begins, prosaic = [x[5] for x in found], [x[5] for x in prose]
-    whole = {x[6] for x in risen}
+    found = regions(lines)
+    with_articles = {x.main for x in lines if x.article}
+
+    def marked(r: Region) -> bool:
+        first = lines[r.begin]
+        return bool(first.article or first.main and first.main not in with_articles)
+
+    def chars(r: Region) -> int:
+        return sum(len(x.text) for x in lines[r.begin : r.end])
+
+    def prosaic(r: Region) -> bool:
+        return marked(r) or sum(x.linked for x in lines[r.begin : r.end]) <= MOST_LINKED * chars(r)
+
+    def weight(r: Region) -> float:
+        return MARKED if marked(r) else 1 / MARKED if lines[r.begin].doubtful else 1
+
+    prose = [r for r in found if prosaic(r)]
+    best = max([r.peak * MARKED for r in prose if marked(r)], default=0)
+    least = max(SURGE, best / MARKED)
+    risen = [r for r in prose if r.peak * weight(r) >= least] or [r for r in prose if r.peak >= SURGE]
+    around = {lines[r.begin].container for r in risen if not marked(r)}
+    risen = risen or prose and [max(prose, key=lambda r: chars(r) * weight(r))]
+    kept = _contained(found, prose, set(risen), around, lines, spans)
+    return "\n".join(x.text for r in kept for x in lines[r.begin : r.end] if x.text)
+
+
+def _contained(
+    found: list[Region], prose: list[Region], risen: set[Region], around: set[int], lines: list[Line], spans: list[list[int]]
+) -> list[Region]:
+    """The risen regions, and all between the first and the last prose of the containers ``around`` them; of
+    what stands right in the body or the page, the prose that stands there too."""
+    begins, prosaic = [r.begin for r in found], [r.begin for r in prose]
     covered = [0] * (len(found) + 1)
-    for number in whole:
+    for number in around - {0}:
         first, after = spans[number]
         held = prosaic[bisect_left(prosaic, first) : bisect_left(prosaic, after)]
-        if number and held:
+        if held:
             covered[bisect_left(begins, held[0])] += 1
             covered[bisect_left(begins, held[-1]) + 1] -= 1
+    in_body = {r for r in prose if not lines[r.begin].container and not lines[r.begin].article and not lines[r.begin].main}
     kept, open_ = [], 0
-    for k, x in enumerate(found):
+    for k, r in enumerate(found):
         open_ += covered[k]
-        if open_ or x[6] in whole and x[2] <= MOST_LINKED * x[0]:
-            kept.append(x[4])
+        if open_ or r in risen or 0 in around and r in in_body:
+            kept.append(r)
     return kept
 
 

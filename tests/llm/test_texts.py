@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import random
+from html.parser import HTMLParser
 
 import duckdb
 import pytest
@@ -114,3 +116,88 @@ def test_lists_and_closing_lines_of_the_main_text_stay(begin, end):
 def test_links_inside_the_main_text_stay(begin, end):
     page = f"<ul><li><a href=x>Menu</a></ul>{begin}<p>{LONG}</p><ul><li><a href=x>Source</a></ul><p>End.</p>{end}<ul><li><a href=y>Next</a></ul>"
     assert html_text.main_text(page) == f"{LONG.strip()}\nSource\nEnd."
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article>Teaser card.</article><div class='post-body'>{LONG}</div>", LONG),
+        (f"<article><p>{LONG}</article><div><p>Aside.</div><article><p>More. {LONG}</article><article>Card</article>", f"{LONG.strip()}\nMore. {LONG}"),
+        (f"<article><p>{LONG}<div class=share>Shares. {LONG}</div><div class=share><a href=x>{LONG}</a></div><p>End.</article>", f"{LONG.strip()}\nShares. {LONG.strip()}\nEnd."),
+        (f"<div class='search results'><p>{LONG}</div><div class=search>Go</div>", LONG),
+        (f"<form action=x><p>{LONG}<p>End.</form><form><input>Send</form>", f"{LONG.strip()}\nEnd."),
+        (f"<div><p>{LONG}</div><div class=cookie-bar>We use {LONG}</div>", LONG),
+        (f"<article><p>{LONG}<div class=comment-list>I think {LONG}</div><p>End.</article>", f"{LONG.strip()}\nEnd."),
+        (f"<main><article><p>{LONG}</article><div>Others read this.</div></main>", LONG),
+        (f"<div class=widget><div>x</div><p class=share>y<article><p>{LONG}</article>", LONG),
+        (f"<main><p>{LONG}</main><div class=related><p>{LONG}{LONG}</div><section class=with-sidebar><p>Other {LONG}</section>", f"{LONG.strip()}\nOther {LONG}"),
+    ],
+)
+def test_windows_decide_on_pages_with_marked_text(page, text):
+    assert html_text.main_text(page) == text.strip()
+
+
+def plainly(parts):
+    """The text of parts, (in an article or not, its blocks), by every window of three blocks."""
+    found = []
+    for article, blocks in parts:
+        blocks = [x for x in (" ".join(b.split()) for b in blocks) if x]
+        peak = max((sum(map(len, blocks[k : k + 3])) for k in range(len(blocks))), default=0)
+        found.append((article, peak, sum(map(len, blocks)), "\n".join(blocks)))
+    found = [x for x in found if x[1]]
+    highest = max((x[1] for x in found if x[0]), default=0)
+    risen = [x for x in found if (4 * x[1] >= max(150, highest) if x[0] else x[1] >= max(150, highest))]
+    risen = risen or [x for x in found if x[1] >= 150]
+    risen = risen or found and [max(found, key=lambda x: x[2] * (4 if x[0] else 1))]
+    return "\n".join(x[3] for x in risen)
+
+
+def test_parts_equal_every_window():
+    rng = random.Random(3)
+    for _ in range(2000):
+        parts = [
+            (rng.random() < 0.4, [prose(rng.randrange(99), rng.choice([0, 1, 3, 8, 30])) for _ in range(rng.randint(1, 6))])
+            for _ in range(rng.randint(1, 6))
+        ]
+        page = "".join(f"<{n}>{''.join(f'<p>{b}</p>' for b in bs)}</{n}>" for n, bs in (("article" if a else "div", bs) for a, bs in parts))
+        assert html_text.main_text(page) == plainly(parts)
+
+
+class Parts(HTMLParser):
+    """Parts of the supplied pages, by the library's parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.open, self.parts = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in ("br", "meta"):
+            self.open.append(("ad" if ("class", "ad") in attrs else tag))
+        if tag in ("article", "nav", "footer", "div"):
+            self.parts.append((tag == "article", [""]))
+        elif tag in ("p", "h1") and self.parts:
+            self.parts[-1][1].append("")
+        elif tag == "br" and self.parts:
+            self.parts[-1][1][-1] += " "
+
+    def handle_endtag(self, tag):
+        while self.open and self.open[-1] not in (tag, "ad" if tag == "div" else tag):
+            self.open.pop()
+        if self.open:
+            self.open.pop()
+
+    def handle_data(self, data):
+        if self.parts and not {"nav", "footer", "ad", "script", "style", "title"}.intersection(self.open):
+            self.parts[-1][1][-1] += data
+
+
+def test_supplied_pages_equal_every_window(spark):
+    if not os.path.isdir("/root/testdata/sf0.01"):
+        pytest.skip("no test tables here")
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
+    for page in pages.collect():
+        parser = Parts()
+        parser.feed(page["html"])
+        parser.close()
+        assert found[page["page_id"]] == plainly(parser.parts)
