@@ -22,6 +22,11 @@ def licensed_rows():
         (32, " ".join(bsd.split()[: len(bsd.split()) // 2]) + "\n\n" + " ".join(bsd.split()[len(bsd.split()) // 2 :])),
         (33, "the MIT\n\nlicense, a mit-license and General Public License mit licensed"),
         (34, "permitted " + " ".join(reversed(bsd.split()))),
+        (36, "The album was released under a license by the studio, and the dog ran home"),
+        (37, f"{prose(4, 200)} {bsd} {prose(5, 200)}"),
+        (38, f" {prose(6, 100)} ".join(bsd.split())),
+        (39, f"{prose(7, 128 + 256 - len(bsd.split()))} {bsd}"),
+        (40, licenses.TEMPLATES["mit"][1]),
         (35, "Kelvin general public lİcense"),
     ]
 
@@ -42,6 +47,11 @@ def test_scans_equal_their_sql(spark):
     assert sorted(map(tuple, found.select(order).collect()), key=key) == sorted(sql.select(", ".join(order)).fetchall(), key=key)
 
 
+def test_labels_need_words_near_each_other(spark):
+    labels = {r["doc_id"]: r["labels"] for r in licenses.license_scan(documents(spark, licensed_rows())).collect()}
+    assert [labels[k] for k in (34, 36, 37, 38, 39, 40)] == ["bsd", "", "bsd", "", "bsd", "mit"]
+
+
 def test_scans_of_odd_rows(spark):
     found = licenses.license_scan(documents(spark, extra=True)).collect()
     assert len(found) == len(odd_rows()) and {r["labels"] for r in found} == {""}
