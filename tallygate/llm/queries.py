@@ -143,6 +143,39 @@ _OP1 = rf"""
     from spelled group by conv_id
 """
 
+#: Every string of 400 bytes by its digest; bytes are two hex digits. Texts are cut into overlapping
+#: blocks first, as the place of a character in a long string takes a scan.
+_OP3 = """
+    with given as (
+        select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+    blocks as (
+        select r, off, substr(h, 2 * off + 1, 2 * (400 + 399)) as b
+        from (select r, h, unnest(range(0, greatest(len(h) // 2 - 399, 0), 400)) as off from given)),
+    strings as (
+        select r, off + i as s, md5(substr(b, 2 * i + 1, 800)) as digest
+        from (select r, off, b, unnest(range(0, least(400, len(b) // 2 - 399))) as i from blocks)),
+    repeated as (
+        select r, s from strings where digest in (select digest from strings group by digest having count(*) > 1)),
+    runs as (
+        select r, min(s) as a, max(s) + 400 as z
+        from (
+            select r, s, sum(begins) over (partition by r order by s) as run
+            from (select r, s, case when s <= lag(s) over (partition by r order by s) + 400 then 0 else 1 end as begins
+                  from repeated))
+        group by r, run),
+    ends as (
+        select r, a, z, lag(z, 1, 0) over (partition by r order by a) as before from runs),
+    removed as (
+        select r, count(*) as n_spans, sum(z - a) as n_removed, max(z) as last from runs group by r),
+    left_over as (
+        select r, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) as front
+        from ends join given using (r) group by r)
+    select doc_id, (len(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+        coalesce(n_spans, 0)::bigint as n_spans,
+        sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+    from given left join removed using (r) left join left_over using (r)
+"""
+
 _OP10 = rf"""
     with d as (
         select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') as w
@@ -284,6 +317,7 @@ _OP13 = rf"""
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": _OP1,
     "op2_licenses": licenses.oracle_sql(),
+    "op3_suffix_dedup": _OP3,
     "op10_decontaminate": _OP10,
     "op12_hard_negatives": _OP12,
     "op13_conversation_repair": _OP13,
