@@ -29,7 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -199,9 +199,10 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, keep: str = "none", toge
             yield pa.RecordBatch.from_arrays(columns + [pa.array(np.concatenate(c)) for c in zip(*found)], names)
 
     rows = keyed.mapInArrow(anchored, ", ".join(f"{n} long" for n in names))
-    counts = rows.groupBy("anchor", "context").count().repartition("anchor")
-    kinds = counts.groupBy("anchor").agg(F.sum("count").alias("seen"), F.count("*").alias("contexts"))
-    again = counts.join(kinds.where("seen > 1"), "anchor")
+    counts = rows.groupBy("anchor", "context").count()
+    of_anchor = Window.partitionBy("anchor")
+    again = counts.withColumns({"seen": F.sum("count").over(of_anchor), "contexts": F.count("*").over(of_anchor)})
+    again = again.where("seen > 1")
     members = kept(rows.join(again, ["anchor", "context"]))
     several = members.where("count > 1")
     place = F.struct(*_KEY, "first", "last")
