@@ -29,6 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -321,11 +322,13 @@ def without_repeats(
     spans = repeated_spans(docs.select("doc_id", "text"), least, keep)
     own = spans.groupBy(*_KEY).agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     row = whole_row(docs).alias("row")
-    keyed = docs.select(row, *_key_columns(), text_of().alias("text"))
+    keyed = docs.select(row, *_key_columns())
     names = ["row", "begins", "ends", "kept"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 << 20):
+        # a row's text comes within the row alone, so that the join and the worker get it once
+        texts_of = (b.append_column("text", pc.fill_null(b["row"].field("text"), "")) for b in batches)
+        for batch in slices(texts_of, "text", 2 << 20):
             texts = batch["text"].cast(pa.binary()).to_pylist()
             merged = [_merged(x) for x in batch["spans"].to_pylist()]
             if characters:
@@ -339,7 +342,7 @@ def without_repeats(
             columns = [pa.array([[s[k] for s in x] for x in merged], pa.list_(pa.int64())) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch["row"], *columns, pa.array(rest, pa.binary())], names)
 
-    joined = keyed.join(own, _KEY, "left").select("row", "text", "spans")
+    joined = keyed.join(own, _KEY, "left").select("row", "spans")
     kind = joined.schema["row"].dataType
     lists = StructType.fromDDL("begins array<long>, ends array<long>, kept binary")
     return joined.mapInArrow(cut, StructType([StructField("row", kind), *lists]))
