@@ -72,21 +72,37 @@ OPENINGS = [
 ]
 
 
+#: Line numbers that an order commonly has; only the number of tasks goes by it.
+_NUMBERS = 8
+
 #: The number of the file that has no line at all.
 EMPTY_FILE = 1000
 
 
-def write_headed_files(versions: DataFrame, path: str) -> str:
-    """The snapshot's lines in a file for each line number, each opened in one of five ways, and
-    an empty file."""
+#: Lines of the snapshot for each share of a line number.
+LINES_A_SHARE = 1_000_000
+
+
+def write_headed_files(versions: DataFrame, path: str, shares: int = 1) -> str:
+    """The snapshot's lines in ``shares`` files for each line number, each opened in one of five ways,
+    and an empty file. With one share, all lines of a number go through one task."""
     number = F.coalesce(F.col("line_id").try_cast("int"), F.lit(0))
-    data = versions.select(number.alias("file"), F.lit(len(SOURCE_COLUMNS)).alias("at"), damaged_line().alias("value"))
-    files_there = data.select("file").distinct()
+    share = F.pmod(F.xxhash64("order_id", "product_id", "updated_at"), F.lit(shares))
+    data = versions.select(
+        number.alias("file"), share.alias("share"), F.lit(len(SOURCE_COLUMNS)).alias("at"), damaged_line().alias("value")
+    )
+    files_there = data.select("file", "share").distinct()
     openings = F.array(*[F.array(*map(F.lit, lines)) for lines in OPENINGS])
-    opened = files_there.select("file", F.posexplode(F.get(openings, F.col("file") % len(OPENINGS))).alias("at", "value"))
-    lines = opened.unionByName(data).repartition("file").sortWithinPartitions("file", "at")
-    lines.select("value", "file").write.partitionBy("file").text(path)
-    files.touch(versions.sparkSession, f"{path}/file={EMPTY_FILE}/part-0.txt")
+    opening = F.posexplode(F.get(openings, F.col("file") % len(OPENINGS))).alias("at", "value")
+    lines = files_there.select("file", "share", opening).unionByName(data)
+    if shares == 1:
+        dealt, folders, empty = lines.repartition("file"), ["file"], f"file={EMPTY_FILE}"
+    else:  # a folder for each share, so that a task writes a file of its own for each
+        dealt, folders = lines.repartition(shares * _NUMBERS, "file", "share"), ["file", "share"]
+        empty = f"file={EMPTY_FILE}/share=0"
+    ordered = dealt.sortWithinPartitions(*folders, "at").select("value", *folders)
+    ordered.write.partitionBy(*folders).text(path)
+    files.touch(versions.sparkSession, f"{path}/{empty}/part-0.txt")
     return path
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
@@ -13,6 +14,7 @@ from pyspark.sql.types import DateType, TimestampType
 from harness.bridge import order_line_versions, roomy_joins
 from harness.landing import (
     BATCH_DATE,
+    LINES_A_SHARE,
     MOST_REJECTED,
     RUN_ID,
     in_lake,
@@ -486,13 +488,16 @@ def recovered_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def header_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which files break the header contract, and the rows of those that keep it."""
     root = shared_folder(spark, sf_dir, "header_contract")
-    raw = write_headed_files(order_line_versions(spark, sf_dir), f"{root}/raw")
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()  # from the footers
+    shares = math.ceil(max(1, items) / LINES_A_SHARE)
+    with roomy_joins(spark, sf_dir):
+        raw = write_headed_files(order_line_versions(spark, sf_dir), f"{root}/raw", shares)
     number = F.regexp_extract(SOURCE_FILE, "file=([0-9]+)", 1).cast("int").alias("file")
     lines, refused = snapshot_lines(spark, raw), None
     try:
         check_headers(lines, SnapshotFiles(spark, raw), f"{root}/bad")
     except HeaderError as error:
-        refused = error.unsound.select(number, F.lit(None).cast("long").alias("data_rows"))
+        refused = error.unsound.select(number, F.lit(None).cast("long").alias("data_rows")).distinct()
     kept = lines.join(sound_files(lines), SOURCE_FILE, "left_semi")
     sound = parse_lines(kept.filter(is_data())).groupBy(number).agg(F.count(F.lit(1)).alias("data_rows"))
     every = sound if refused is None else sound.unionByName(refused)

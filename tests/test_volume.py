@@ -9,7 +9,9 @@ from datetime import datetime
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
+from harness import landing, queries
 from harness.bridge import order_line_versions
 from tallygate.contract import RECORD_HASH
 from tallygate.operators.versions import rank_versions, with_hash_bytes, with_hash_text
@@ -112,3 +114,24 @@ def test_shuffles_follow_the_size_in_pieces_that_a_task_can_sort(spark):
     name = "spark.sql.shuffle.partitions"
     assert shuffles_for(spark, 100 << 30)[name] == "1600"
     assert shuffles_for(spark, 0)[name] == spark.conf.get(name)
+
+
+def test_a_line_number_is_dealt_over_many_headed_files(spark, tables, tmp_path):
+    """Before, all lines of a number were sorted and written by one task."""
+    raw = landing.write_headed_files(order_line_versions(spark, tables), f"{tmp_path}/raw", shares=5)
+    lines = spark.read.text(raw).select("value", F.input_file_name().alias("file"))
+    first = glob.glob(f"{raw}/file=2/*/*.txt")
+    assert len(first) > 1
+    for path in first:  # file 2 opens with a byte order mark, the header and two blank lines
+        with open(path, encoding="utf-8") as opened:
+            held = opened.read().split("\n")
+        assert held[0] == "﻿" + landing._HEADER and held[1:3] == ["", "   "] and len(held) > 4
+    data = lines.filter(F.col("value").startswith("O")).count()
+    assert data == order_line_versions(spark, tables).count()
+
+
+def test_header_contract_is_the_same_over_shares(spark, tables, monkeypatch):
+    whole = sorted(queries.header_contract(spark, tables).collect())
+    monkeypatch.setattr(queries, "LINES_A_SHARE", 7)
+    dealt = sorted(queries.header_contract(spark, tables).collect())
+    assert dealt == whole and [row.file for row in whole] == [1, 2, 3, 4, 1000]
