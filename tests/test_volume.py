@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from harness import landing, queries
 from harness.bridge import order_line_versions
 from tallygate.contract import RECORD_HASH
+from tallygate.operators.classify import accepted_lines, classify
 from tallygate.operators.versions import rank_versions, with_hash_bytes, with_hash_text
+from tallygate.plans import publish as publish_plan
 from tallygate.plans.publish import publish_snapshot
 from tallygate.session import settings, shuffles_for
 from tallygate.sources.runs import read_order_lines, read_superseded
+from tallygate.sources.snapshot_csv import read_snapshot
 from tests.shapes import HEADER, csv_line
 
 
@@ -135,3 +138,42 @@ def test_header_contract_is_the_same_over_shares(spark, tables, monkeypatch):
     monkeypatch.setattr(queries, "LINES_A_SHARE", 7)
     dealt = sorted(queries.header_contract(spark, tables).collect())
     assert dealt == whole and [row.file for row in whole] == [1, 2, 3, 4, 1000]
+
+
+def test_landed_files_are_compressed_and_hold_the_same_lines(spark, tables, tmp_path):
+    versions = order_line_versions(spark, tables)
+    raw = landing.write_snapshot_csv(versions, f"{tmp_path}/raw")
+    names = glob.glob(f"{raw}/part-*")
+    assert names and all(name.endswith(".csv.gz") for name in names)
+    lines = [row.value for row in spark.read.text(raw).collect()]
+    given = [row[0] for row in versions.select(landing.damaged_line()).collect()]
+    assert sorted(lines) == sorted([*given, *[landing._HEADER] * len(names)])
+
+
+def test_derived_columns_are_not_staged_and_come_back(spark, tmp_path, monkeypatch):
+    """Amounts and dates follow from other columns, so neither staging nor shuffles carry them."""
+    staged = {}
+    write = publish_plan.Staged.write.__func__
+
+    def noted(cls, frame, path, split):
+        staged[split] = set(frame.columns)
+        return write(cls, frame, path, split)
+
+    monkeypatch.setattr(publish_plan.Staged, "write", classmethod(noted))
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    lines = [
+        csv_line(order_id=f"D{n % 7}", quantity=str(2 + n), status="cancelled" if n % 3 else "completed")
+        for n in range(21)
+    ]
+    (raw / "a.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    root = str(tmp_path / "lake")
+    publish_snapshot(spark, str(raw), root, "run-1")
+    assert not staged[publish_plan.OUTCOME] & {"typed_gross_amount", "typed_net_amount"}
+    assert not staged[publish_plan.CURRENT] & {"gross_amount", "net_amount", "order_date"}
+    whole = accepted_lines(classify(read_snapshot(spark, str(raw))))
+    names = whole.columns
+    written = read_order_lines(spark, root, "run-1").select(*names).unionByName(
+        read_superseded(spark, root, "run-1").select(*names)
+    )
+    assert sorted(map(str, written.collect())) == sorted(map(str, whole.collect()))
