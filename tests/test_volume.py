@@ -19,7 +19,7 @@ from tallygate.operators.versions import rank_versions, with_hash_bytes, with_ha
 from tallygate.plans import publish as publish_plan
 from tallygate.plans.publish import publish_snapshot
 from tallygate.session import settings, shuffles_for
-from tallygate.sources.runs import read_order_lines, read_superseded
+from tallygate.sources.runs import read_order_lines, read_quarantine, read_superseded
 from tallygate.sources.snapshot_csv import read_snapshot
 from tests.shapes import HEADER, csv_line
 
@@ -177,3 +177,47 @@ def test_derived_columns_are_not_staged_and_come_back(spark, tmp_path, monkeypat
         read_superseded(spark, root, "run-1").select(*names)
     )
     assert sorted(map(str, written.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_hashes_are_neither_staged_nor_shuffled_and_come_back(spark, tmp_path, monkeypatch):
+    """Hashes follow from the values of a line, and from its texts where the values don't spell them."""
+    staged, shuffled = {}, []
+    write, rank = publish_plan.Staged.write.__func__, publish_plan.rank_at_scale
+
+    def noted(cls, frame, path, split):
+        staged[split] = set(frame.columns)
+        return write(cls, frame, path, split)
+
+    def ranked(lines, *args, **kwargs):
+        shuffled.append(set(lines.columns))
+        return rank(lines, *args, **kwargs)
+
+    monkeypatch.setattr(publish_plan.Staged, "write", classmethod(noted))
+    monkeypatch.setattr(publish_plan, "rank_at_scale", ranked)
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    odd = [
+        {"quantity": "007"}, {"unit_price": "8"}, {"unit_price": "8.5", "discount_amount": "00.40"}, {"category": "Étagère"},
+        {"quantity": "x"}, {"unit_price": "07.x"}, {"order_timestamp": "2023-02-30T00:00:00"}, {"customer_id": ""}, {},
+    ]
+    # every change once as a line of its own and once as a version of the same line: ties of updated_at
+    lines = [csv_line(**{"order_id": f"H{n}", **c}) for n, c in enumerate(odd)]
+    lines += [csv_line(**{"order_id": "H", **c}) for c in odd]
+    (raw / "a.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    whole = classify(read_snapshot(spark, str(raw)))
+    wanted = {
+        accepted: sorted(row[0] for row in whole.filter(F.col("accepted") == accepted).select(RECORD_HASH).collect())
+        for accepted in (True, False)
+    }
+    assert (len(wanted[True]), len(wanted[False])) == (10, 8)
+    for crowd in (1, 1000):
+        root = str(tmp_path / f"lake-{crowd}")
+        publish_snapshot(spark, str(raw), root, "run-1", max_reject_ratio=0.5, crowd=crowd)
+        current, older = read_order_lines(spark, root, "run-1"), read_superseded(spark, root, "run-1")
+        held = [row[0] for frame in (current, older) for row in frame.select(RECORD_HASH).collect()]
+        assert sorted(held) == wanted[True]
+        assert sorted(row[0] for row in read_quarantine(spark, root, "run-1").select(RECORD_HASH).collect()) == wanted[False]
+        tied = [row[0] for row in older.orderBy("dedup_rank").select(RECORD_HASH).collect()]
+        assert tied == sorted(tied, reverse=True) and len(tied) == 4
+        assert current.filter("order_id = 'H'").first()[RECORD_HASH] > tied[0]
+    assert all(RECORD_HASH not in columns for columns in [*staged.values(), *shuffled])
