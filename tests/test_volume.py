@@ -15,7 +15,7 @@ from harness import landing, queries
 from harness.bridge import order_line_versions
 from tallygate.contract import RECORD_HASH
 from tallygate.operators.classify import accepted_lines, classify
-from tallygate.operators.versions import rank_versions, with_hash_bytes, with_hash_text
+from tallygate.operators.versions import FileNames, rank_versions, with_hash_bytes, with_hash_text
 from tallygate.plans import publish as publish_plan
 from tallygate.plans.publish import publish_snapshot
 from tallygate.session import settings, shuffles_for
@@ -221,3 +221,16 @@ def test_hashes_are_neither_staged_nor_shuffled_and_come_back(spark, tmp_path, m
         assert tied == sorted(tied, reverse=True) and len(tied) == 4
         assert current.filter("order_id = 'H'").first()[RECORD_HASH] > tied[0]
     assert all(RECORD_HASH not in columns for columns in [*staged.values(), *shuffled])
+
+
+@pytest.mark.parametrize(
+    "texts",
+    [["x/a-1.csv", "x/a-22.csv", None], ["x/a.csv"], ["aa", "a", "aaa"], ["é/ü.csv", "é/ö.csv"], ["", "b"], [None], []],
+)
+def test_what_file_names_have_in_common_is_left_out_and_comes_back(spark, texts):
+    lines = spark.createDataFrame([(text,) for text in texts], "_source_file string")
+    names = FileNames.of(lines)
+    short = [row[0] for row in names.cut(lines).collect()]
+    assert sorted(map(str, (row[0] for row in names.whole(names.cut(lines)).collect()))) == sorted(map(str, texts))
+    wanted = {"x/a-1.csv": ["1", "22", None], "x/a.csv": [""], "é/ü.csv": ["ü", "ö"]}
+    assert not texts or texts[0] not in wanted or short == wanted[texts[0]]
