@@ -146,3 +146,49 @@ def test_totals_out_of_range_become_null_and_are_found(spark):
 
 def test_all_cancelled_lines_make_no_sales(spark):
     assert daily_sales(lines_of(spark, {"status": "CANCELLED"})).count() == 0
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("crowd", [50, 399, 400, 5000])
+def test_ranks_do_not_depend_on_what_is_shuffled_together(spark, skewed, tmp_path, crowd):
+    ranked = rank_at_scale(skewed, 3000, str(tmp_path), crowd, together=("order_id",))
+    assert shown(ranked) == shown(rank_versions(skewed))
+    assert spark.read.parquet(f"{tmp_path}/packed_keys").count() > 0 if crowd < 3000 else True
+
+
+def test_lines_of_an_order_are_shuffled_once_and_together(spark):
+    changes = [{"order_id": f"N{n % 9}", "line_id": str(n)} for n in range(60)]
+    ranked = rank_versions(lines_of(spark, *changes), together=("order_id",))
+    places = ranked.select("order_id", F.spark_partition_id().alias("task")).distinct()
+    assert places.count() == 9
+    assert plan(ranked).count("Exchange hashpartitioning") == 1
+
+
+def test_daily_sales_by_shares_are_the_same_in_one_shuffle_of_lines(spark):
+    changes = [
+        {
+            "order_id": f"N{n % 7}", "line_id": str(n), "category": ("Lamps", "Music")[n % 3 % 2], "quantity": str(1 + n),
+            "order_timestamp": f"2023-05-{17 + n % 2}T18:04:09", "status": "CANCELLED" if n % 11 == 3 else "COMPLETED",
+        }
+        for n in range(60)
+    ]
+    lines = lines_of(spark, *changes)
+    shares = spark.sql("SELECT DATE'2023-05-17' AS order_date, 4L AS shares")  # the other date has none
+    by_share = daily_sales(lines, shares)
+    assert sorted(by_share.collect()) == sorted(daily_sales(lines).collect())
+    assert by_share.dtypes == daily_sales(lines).dtypes
+    spread = [part for part in plan(by_share).splitlines() if "Exchange hashpartitioning" in part]
+    assert not any("order_id" in part for part in spread)
+
+
+def test_totals_out_of_range_are_null_by_shares_as_well(spark):
+    high = {"quantity": "1", "unit_price": "9999999999999999.99", "discount_amount": "0.00"}
+    changes = [{"order_id": f"N{n}", "line_id": str(n), "country": c, **high} for n in range(3) for c in ("PT", "NO")[: 3 - n]]
+    lines = lines_of(spark, *changes)
+    shares = spark.sql("SELECT DATE'2023-05-17' AS order_date, 5L AS shares")
+    rows = {row.country: row for row in daily_sales(lines, shares).collect()}
+    assert rows == {row.country: row for row in daily_sales(lines).collect()}
+    assert rows["PT"].gross_amount is None and rows["PT"].order_count == 3

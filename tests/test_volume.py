@@ -234,3 +234,15 @@ def test_what_file_names_have_in_common_is_left_out_and_comes_back(spark, texts)
     assert sorted(map(str, (row[0] for row in names.whole(names.cut(lines)).collect()))) == sorted(map(str, texts))
     wanted = {"x/a-1.csv": ["1", "22", None], "x/a.csv": [""], "é/ü.csv": ["ü", "ö"]}
     assert not texts or texts[0] not in wanted or short == wanted[texts[0]]
+
+
+def test_partitions_are_counted_by_lines_as_well_as_by_bytes(spark, tmp_path, monkeypatch):
+    """Lines that compress well take few bytes on storage, but as many as others where they are sorted."""
+    sizes = []
+    monkeypatch.setattr(publish_plan, "shuffles_for", lambda spark, size: sizes.append(size) or shuffles_for(spark, size))
+    monkeypatch.setattr(publish_plan, "_LINE_BYTES", 1 << 20)
+    (tmp_path / "raw").mkdir()
+    lines = [csv_line(order_id=f"O{n}") for n in range(300)]
+    (tmp_path / "raw" / "a.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    publish_snapshot(spark, f"{tmp_path}/raw", f"{tmp_path}/lake", "run-1")
+    assert sizes == [300 << 20]
