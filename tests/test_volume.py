@@ -236,6 +236,28 @@ def test_what_file_names_have_in_common_is_left_out_and_comes_back(spark, texts)
     assert not texts or texts[0] not in wanted or short == wanted[texts[0]]
 
 
+def test_cancelled_lines_are_made_from_the_landed_ones(spark, tables, tmp_path):
+    """The tables were joined a second time for them."""
+    versions = order_line_versions(spark, tables)
+    cut = F.when(F.col("line_id") == "2", "extra").when(F.col("line_id") == "3", "quote").alias("damage")
+    odd = F.when(F.col("line_id") == "4", " complETED ").when(F.col("line_id") == "1", "on hold").otherwise(F.col("status"))
+    versions = versions.select(*versions.drop("damage", "status").columns, odd.alias("status"), cut)
+    completed = F.upper(F.trim("status")) == "COMPLETED"
+    swapped = versions.withColumn("status", F.when(completed, "cancelled").otherwise(F.col("status")))
+    landing.write_snapshot_csv(versions, f"{tmp_path}/raw")
+    landing.write_snapshot_csv(swapped, f"{tmp_path}/wanted")
+    lines = landing.landed_lines(spark, f"{tmp_path}/raw").select(landing.cancelled_line())
+    landing.write_csv_lines(lines, f"{tmp_path}/cancelled")
+
+    def rows(name):
+        return sorted(map(str, landing.landed_lines(spark, f"{tmp_path}/{name}").collect()))
+
+    assert rows("cancelled") == rows("wanted") != rows("raw")
+    assert sorted(map(str, read_snapshot(spark, f"{tmp_path}/cancelled").drop("_source_file").collect())) == sorted(
+        map(str, read_snapshot(spark, f"{tmp_path}/wanted").drop("_source_file").collect())
+    )
+
+
 def test_partitions_are_counted_by_lines_as_well_as_by_bytes(spark, tmp_path, monkeypatch):
     """Lines that compress well take few bytes on storage, but as many as others where they are sorted."""
     sizes = []
