@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import hashlib
+import re
 from collections import Counter
 from datetime import datetime
 
@@ -268,3 +269,13 @@ def test_partitions_are_counted_by_lines_as_well_as_by_bytes(spark, tmp_path, mo
     (tmp_path / "raw" / "a.csv").write_text("\n".join([HEADER, *lines]) + "\n")
     publish_snapshot(spark, f"{tmp_path}/raw", f"{tmp_path}/lake", "run-1")
     assert sizes == [300 << 20]
+
+
+def test_the_method_for_a_landed_line_is_small_enough_for_the_jvm(spark, tables):
+    """The JVM leaves methods of 8,000 bytes and more uncompiled."""
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):  # else the plan is not yet compiled
+        lines = order_line_versions(spark, tables).select(landing.damaged_line())
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        text = lines._jdf.queryExecution().explainString(mode)
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000, max(sizes)
