@@ -279,3 +279,11 @@ def test_the_method_for_a_landed_line_is_small_enough_for_the_jvm(spark, tables)
         text = lines._jdf.queryExecution().explainString(mode)
     sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text)]
     assert sizes and max(sizes) < 8000, max(sizes)
+
+
+def test_names_of_files_are_counted_before_their_ends_are_compared(spark):
+    """Least texts are not aggregated in place, so each line was sorted and compared one by one."""
+    lines = spark.range(9).select(F.concat(F.lit("part-"), F.col("id") % 3).alias("_source_file"))
+    plan = FileNames.ends(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 2 and plan.count("Aggregate [_source_file") == 1, plan
+    assert FileNames.of(lines) == FileNames("part-", "")
