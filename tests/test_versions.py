@@ -1,15 +1,17 @@
 from __future__ import annotations
 
+import re
 from decimal import ROUND_DOWN, Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from shapes import BOOK, frame
-from tallygate.operators.classify import accepted_lines, classify
+from tallygate.operators.classify import accepted_lines, classify, slim_lines, with_hash_to_rank, without_hash
 from tallygate.operators.daily import daily_sales, overflowed
 from tallygate.operators.versions import (
     RANK,
+    TIED,
     current_lines,
     find_crowded,
     latest_lines,
@@ -167,6 +169,35 @@ def test_lines_of_an_order_are_shuffled_once_and_together(spark):
     assert plan(ranked).count("Exchange hashpartitioning") == 1
 
 
+@pytest.mark.parametrize("crowd", [50, 399, 5000])
+def test_hashes_are_worked_out_for_tied_lines_alone(spark, skewed, tmp_path, crowd):
+    """Every line was hashed again to be ranked, where only versions of the same time need it."""
+    changes = [{"order_id": f"T{n // 3}", "updated_at": f"2030-01-0{1 + n % 3 // 2}T00:00:00", "category": f"c{n}"} for n in range(12)]
+    lines = skewed.unionByName(lines_of(spark, *changes, {"order_id": "alone"}))
+    hashes = lines.select("*", F.col("_record_hash").alias("text")).drop("_record_hash")
+
+    def late(gathered):
+        value = F.col("text")
+        return gathered.withColumn("_record_hash", F.when(F.col(TIED), value) if TIED in gathered.columns else value)
+
+    ranked = rank_at_scale(
+        hashes, 3013, str(tmp_path), crowd, late=late, together=("order_id",), ties=("updated_at",)
+    )
+    assert TIED not in ranked.columns
+    found = ranked.withColumn("_record_hash", F.col("text"))
+    assert shown(found) == shown(rank_versions(lines))
+    named = {row.order_id: row._record_hash for row in ranked.filter("order_id LIKE 'T%' OR order_id = 'alone'").collect() if row[RANK] == 1}
+    assert named == {"T0": None, "T1": None, "T2": None, "T3": None, "alone": None}
+
+
+def test_hashes_of_untied_lines_are_left_out_of_the_plan_of_a_run(spark):
+    lines = without_hash(classify(frame(spark, {})))
+    ranked = rank_versions(slim_lines(lines), late=with_hash_to_rank, together=("order_id",), ties=("updated_at",))
+    text = ranked._jdf.queryExecution().optimizedPlan().toString()
+    # the hash itself, once, behind the condition
+    assert re.search(r"CASE WHEN \S*is_tied\S* THEN unhex\(sha2|CASE WHEN \(\S+ > 1\) THEN unhex\(sha2", text), text
+
+
 def test_daily_sales_by_shares_are_the_same_in_one_shuffle_of_lines(spark):
     changes = [
         {
