@@ -164,21 +164,29 @@ def row_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exhaustive_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of a run's three outputs together, as a multiset, against those of its raw files."""
+    """The rows of a run's three outputs together, as a multiset, against those of its raw files.
+
+    Both are read once, to a digest of each file; those of all files add up to the whole one.
+    """
     place = published(spark, sf_dir)
     key = ["_record_hash", SOURCE_FILE]
     given = classify(read_snapshot(spark, place.raw)).select(*key)
     outputs = [read(spark, place.root, RUN_ID).select(*key) for read in (read_quarantine, read_order_lines, read_superseded)]
     together = outputs[0].unionByName(outputs[1]).unionByName(outputs[2])
     names = ("row_count", "first_sum", "second_sum")
-    left, right = (frame.agg(*digest_columns()).select(F.struct(*names)) for frame in (given, together))
-    files_of = together.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("output_rows"))
-    raw_of = given.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("raw_rows"))
-    apart = raw_of.join(files_of, SOURCE_FILE, "full").filter(~F.col("raw_rows").eqNullSafe(F.col("output_rows")))
-    return together.agg(F.count(F.lit(1)).alias("row_count")).select(
-        "row_count",
-        (left.scalar() == right.scalar()).alias("same_rows"),
-        apart.agg(F.count(F.lit(1)).alias("n")).scalar().alias("files_apart"),
+    raw_of, files_of = (
+        frame.groupBy(SOURCE_FILE).agg(*digest_columns()).select(SOURCE_FILE, F.struct(*names).alias(side))
+        for side, frame in (("raw", given), ("output", together))
+    )
+
+    def whole(side: str) -> Column:
+        return F.struct(*(F.coalesce(F.sum(f"{side}.{name}"), F.lit(0)).cast("decimal(38,0)") for name in names))
+
+    apart = ~F.col("raw.row_count").eqNullSafe(F.col("output.row_count"))
+    return raw_of.join(files_of, SOURCE_FILE, "full").agg(
+        F.coalesce(F.sum("output.row_count"), F.lit(0)).alias("row_count"),
+        (whole("raw") == whole("output")).alias("same_rows"),
+        F.count_if(apart).alias("files_apart"),
     )
 
 

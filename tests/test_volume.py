@@ -287,3 +287,22 @@ def test_names_of_files_are_counted_before_their_ends_are_compared(spark):
     plan = FileNames.ends(lines)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate [") == 2 and plan.count("Aggregate [_source_file") == 1, plan
     assert FileNames.of(lines) == FileNames("part-", "")
+
+
+def test_outcomes_are_read_once_from_raw_files_and_once_from_the_run(spark, tmp_path, monkeypatch):
+    """The raw lines were parsed a second time to count those of each file."""
+    (tmp_path / "raw").mkdir()
+    for part in range(2):
+        lines = [csv_line(order_id=f"O{part}{n}", status="?" if n == 3 else "COMPLETED") for n in range(9)]
+        (tmp_path / "raw" / f"{part}.csv").write_text("\n".join([HEADER, *lines, lines[0]]) + "\n")
+    place = landing.Landed(f"{tmp_path}/lake", f"{tmp_path}/raw", f"{tmp_path}/mart")
+    publish_snapshot(spark, place.raw, place.root, place.run_id)
+    monkeypatch.setattr(queries, "published", lambda spark, sf_dir: place)
+    found = queries.exhaustive_outcomes(spark, "")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" text") == 1 and plan.count(" parquet") == 3, plan
+    assert [tuple(row) for row in found.collect()] == [(20, True, 0)]
+    other = f"{tmp_path}/raw/0.csv"
+    with open(other, "a") as file:
+        file.write(csv_line(order_id="O9") + "\n")
+    assert [tuple(row) for row in queries.exhaustive_outcomes(spark, "").collect()] == [(20, False, 1)]
