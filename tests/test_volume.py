@@ -306,3 +306,9 @@ def test_outcomes_are_read_once_from_raw_files_and_once_from_the_run(spark, tmp_
     with open(other, "a") as file:
         file.write(csv_line(order_id="O9") + "\n")
     assert [tuple(row) for row in queries.exhaustive_outcomes(spark, "").collect()] == [(20, False, 1)]
+
+
+def test_outcomes_are_staged_without_a_sort():
+    """A task that opens as many files as this sorts all rows that follow."""
+    outcomes = ("accepted", "rejected", "skipped")
+    assert int(publish_plan._STAGING["spark.sql.maxConcurrentOutputFileWriters"]) > len(outcomes)
