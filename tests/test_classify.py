@@ -160,6 +160,21 @@ def test_compiled_methods_stay_small_enough_for_the_jvm(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+@pytest.mark.parametrize("form", [LIMITS.timestamp_format, "yyyy-dd-MM'T'HH:mm:ss"])
+def test_times_are_cast_only_where_the_format_reads_the_same(spark, form):
+    texts = [
+        "2024-02-29T23:59:59", "2023-02-29T00:00:00", "0000-01-01T00:00:00", "0001-01-01T00:00:00", "1582-10-10T01:02:03",
+        "9999-12-31T23:59:59", "2024-06-05T24:00:00", "2024-06-05T23:59:60", "2024-13-01T00:00:00", "2024-6-5T1:2:3",
+        "+2024-6-5T01:02:03", "+12024-06-05T01:02:03", "2024-06-05 01:02:03", "2024-06-05T01:02:03Z", "2024-06-05T01:02",
+        "2024-06-05", "٢٠٢٤-06-05T01:02:03", "2024-06-05T01:02:03\n", "", "epoch", None,
+    ]
+    rows = classify(frame(spark, *({"order_timestamp": text} for text in texts)), limits=Limits(timestamp_format=form))
+    by_format = F.try_to_timestamp("order_timestamp", F.lit(form))
+    assert rows.filter(~F.col("typed_order_timestamp").eqNullSafe(by_format)).count() == 0
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert ("cast(order_timestamp" in plan) == (form == LIMITS.timestamp_format)
+
+
 def test_a_filter_on_the_outcome_does_not_parse_rows_twice(spark):
     plan = accepted_lines(classify(frame(spark, {})))._jdf.queryExecution().optimizedPlan()
     text = plan.toString()
